@@ -128,8 +128,10 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _year_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "consolidated_by_year")
-    tl.write_parquet_by_year(consolidated_brl(spark, sf_dir), path)
+    rows = tl.consolidate(
+        tables.raw_quotes(spark, sf_dir), tables.members(spark, sf_dir), ordered=False
+    )
+    path = tl.write_parquet_by_year(rows, scratch_path(spark, "consolidated_by_year"))
     return tl.read_year_table(spark, path)
 
 
@@ -283,11 +285,11 @@ _EQUITIES = """
         WHERE l_returnflag <> 'N' AND l_linenumber <> 3
     )"""
 
-_MEMBERS = """
+_MEMBERS_OF = """
     terms AS (
         SELECT CAST(y || '-' || s AS DATE) AS start, CAST(y || '-' || e AS DATE) AS "end",
                left_out, s
-        FROM range(1995, 2002) AS years(y),
+        FROM range({first}, {past}) AS years(y),
              (VALUES ('01-02', '04-02', 'PROMO'),
                      ('05-02', '08-02', 'SMALL'),
                      ('07-02', '12-02', 'LARGE')) AS t(s, e, left_out)
@@ -297,8 +299,11 @@ _MEMBERS = """
         FROM part JOIN terms ON p_type <> left_out
     )"""
 
+_MEMBERS = _MEMBERS_OF.format(first=1995, past=2002)
+_MEMBERS_IN_FILES = _MEMBERS_OF.format(first=1996, past=1998)
+
 _CONSOLIDATED = f"""
-    WITH {_EQUITIES}, {_MEMBERS}
+    WITH {_EQUITIES}, {{members}}
     SELECT q.date, q.asset, q.close, {{volume}} AS volume {{extra}}
     FROM equities q JOIN members m
       ON q.asset = m.asset AND q.date BETWEEN m.start AND m."end"
@@ -348,7 +353,7 @@ _MAGNITUDE = """
 
 def oracle_sql() -> dict[str, str]:
     """The expected rows of each query in SQL."""
-    brl = _CONSOLIDATED.format(volume="q.volume_brl", extra="")
+    brl = _CONSOLIDATED.format(members=_MEMBERS, volume="q.volume_brl", extra="")
     skewed = """
         SELECT 'P' || CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_partkey END AS asset,
                CAST(l_shipdate AS DATE) AS date, l_extendedprice AS close
@@ -364,7 +369,7 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem GROUP BY 1
         """,
         "membership_scan": f"""
-            WITH {_MEMBERS}
+            WITH {_MEMBERS_IN_FILES}
             SELECT asset, start, "end",
                    CASE WHEN s = '05-02' THEN CAST(p_size AS BIGINT) END AS peso,
                    CASE WHEN s <> '05-02' THEN p_type END AS tipo,
@@ -398,13 +403,19 @@ def oracle_sql() -> dict[str, str]:
               ON q.asset = m.asset AND q.date >= m.start AND q.date <= m."end"
         """,
         "consolidated_brl": brl,
-        "consolidated_shares": _CONSOLIDATED.format(volume="q.volume_shares", extra=""),
+        "consolidated_shares": _CONSOLIDATED.format(
+            members=_MEMBERS, volume="q.volume_shares", extra=""
+        ),
         "consolidated_from_files": _CONSOLIDATED.format(
-            volume="CASE WHEN q.l_linenumber = 7 THEN 0 ELSE q.volume_shares END", extra=""
+            members=_MEMBERS_IN_FILES,
+            volume="CASE WHEN q.l_linenumber = 7 THEN 0 ELSE q.volume_shares END",
+            extra="",
         ),
         "csv_round_trip": brl,
         "parquet_by_year": _CONSOLIDATED.format(
-            volume="q.volume_brl", extra=", CAST(year(q.date) AS INTEGER) AS year"
+            members=_MEMBERS,
+            volume="q.volume_brl",
+            extra=", CAST(year(q.date) AS INTEGER) AS year",
         ),
         "year_totals": f"""
             SELECT CAST(year(date) AS INTEGER) AS year, count(*) AS quotes,

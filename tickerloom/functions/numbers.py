@@ -12,9 +12,8 @@ EXACT_DOUBLE = 2**53
 
 def whole_number(text: Column) -> Column:
     """Digits as bigint: blank is 0, anything else that is no integer is null."""
-    return F.when(F.trim(text) == "", F.lit(0).cast("bigint")).otherwise(
-        text.try_cast("bigint")
-    )
+    blank = F.when(F.trim(text) == "", F.lit(0).cast("bigint"))
+    return F.coalesce(text.try_cast("bigint"), blank)
 
 
 def cents_to_units(cents: Column) -> Column:

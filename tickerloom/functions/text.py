@@ -14,10 +14,15 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+LATIN1_WHITESPACE = "".join(mark for mark in WHITESPACE if ord(mark) < 256)
 
-def strip(text: Column) -> Column:
-    """Remove leading and trailing white space, no-break and other Unicode blanks included."""
-    return F.btrim(text, F.lit(WHITESPACE))
+
+def strip(text: Column, blanks: str = WHITESPACE) -> Column:
+    """Remove leading and trailing white space, no-break and other Unicode blanks included.
+
+    Plain blanks go first: that is quick and leaves little for the longer list.
+    """
+    return F.btrim(F.trim(text), F.lit(blanks))
 
 
 def normalize_asset(asset: Column) -> Column:

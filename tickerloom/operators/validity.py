@@ -30,16 +30,17 @@ from tickerloom.functions.dates import with_quote_day
 from tickerloom.functions.text import quoted
 from tickerloom.operators.equities import require_columns
 
-# Windows up to this size, counted on their filed copies, are broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# Windows up to this size, counted generously on their filed copies, are broadcast.
+BROADCAST_BYTES = 128 * 1024 * 1024
 # A shuffle key with more rows than this is split over several tasks.
 ROWS_PER_TASK = 4_000_000
 # So many of the heaviest keys are split; a lighter key holds less than a
 # 1/10000 share of the rows and goes through the plain shuffle.
 MAX_HEAVY_KEYS = 10_000
 
-SPANS = tuple(8**k for k in range(9))  # 1 day ... 16.7 million days, past year 9999
-KEY = ("_asset", "_span", "_slot")
+SPAN_BITS = 3  # spans grow by 2^3, from one day to 8^8 days, past the year 9999
+SPAN_STEPS = 9
+KEY = ("asset", "_span", "_slot")
 FIXED_SIZE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
@@ -51,20 +52,19 @@ class WindowSize:
     filed_bytes: int
     spans: tuple[int, ...]
 
+    def fits(self, broadcast_bytes: int) -> bool:
+        return self.filed_bytes <= broadcast_bytes
+
 
 def _as_windows(members: DataFrame) -> DataFrame:
     require_columns(members, "asset", "start", "end")
     return members.withColumns({"start": F.col("start").cast("date"), "end": F.col("end").cast("date")})
 
 
-def _span() -> Column:
-    """Span of a window; null when the window holds no day."""
+def _span_step() -> Column:
+    """Which power of eight holds a window's days; null when it has none."""
     days = F.datediff("end", "start") + 1
-    steps = [(days <= size, F.lit(size)) for size in SPANS]
-    first, *rest = steps
-    return F.when(
-        days >= 1, reduce(lambda chain, step: chain.when(*step), rest, F.when(*first))
-    )
+    return F.ceil(F.log2(days) / SPAN_BITS).cast("int")
 
 
 def measure_windows(members: DataFrame) -> WindowSize:
@@ -75,12 +75,14 @@ def measure_windows(members: DataFrame) -> WindowSize:
         if field.name == "asset" or not isinstance(field.dataType, FIXED_SIZE):
             text = F.col(quoted(field.name)).cast("string")
             row_bytes = row_bytes + F.coalesce(F.octet_length(text), F.lit(0))
-    row = windows.agg(
+    row = windows.withColumn("_step", _span_step()).agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(2 * row_bytes), F.lit(0)).alias("filed_bytes"),
-        F.collect_set(_span()).alias("spans"),
+        F.bit_or(F.expr("shiftleft(1, _step)")).alias("steps"),
     ).first()
-    return WindowSize(row["rows"], row["filed_bytes"], tuple(sorted(row["spans"])))
+    steps = row["steps"] or 0
+    spans = tuple(2 ** (SPAN_BITS * step) for step in range(SPAN_STEPS) if steps >> step & 1)
+    return WindowSize(row["rows"], row["filed_bytes"], spans)
 
 
 def _slot(day: Column, span: Column) -> Column:
@@ -88,7 +90,8 @@ def _slot(day: Column, span: Column) -> Column:
 
 
 def _filed_windows(members: DataFrame) -> DataFrame:
-    windows = members.withColumn("_asset", F.col("asset")).withColumn("_span", _span())
+    span = F.pow(F.lit(2), SPAN_BITS * _span_step()).cast("int")
+    windows = members.withColumn("_span", span)
     slots = F.sequence(_slot(F.col("start"), F.col("_span")), _slot(F.col("end"), F.col("_span")))
     return windows.where(F.col("_span").isNotNull() & F.col("asset").isNotNull()).withColumn(
         "_slot", F.explode(slots)
@@ -96,19 +99,17 @@ def _filed_windows(members: DataFrame) -> DataFrame:
 
 
 def _keyed_quotes(quotes: DataFrame, spans: tuple[int, ...]) -> DataFrame:
-    sizes = [F.lit(size) for size in spans or SPANS[:1]]
+    sizes = [F.lit(size) for size in spans or (1,)]
     span = sizes[0] if len(sizes) == 1 else F.explode(F.array(*sizes))
-    return (
-        quotes.withColumn("_asset", F.col("asset"))
-        .withColumn("_span", span)
-        .withColumn("_slot", _slot(F.col("date"), F.col("_span")))
+    return quotes.withColumn("_span", span).withColumn(
+        "_slot", _slot(F.col("date"), F.col("_span"))
     )
 
 
 def _heavy_keys(side: DataFrame, rows_per_task: int) -> dict[tuple, int]:
     """Number of tasks for each key that is too big for one, the heaviest first."""
     rows = (
-        side.where(F.col("_asset").isNotNull())
+        side.where(F.col("asset").isNotNull())
         .groupBy(*KEY)
         .agg(F.count(F.lit(1)).alias("rows"))
         .where(F.col("rows") > rows_per_task)
@@ -152,7 +153,7 @@ def _spread_heavy_keys(
         for key in {**quote_parts, **window_parts}
     ]
     heavy = quotes.sparkSession.createDataFrame(
-        rows, "_asset string, _span int, _slot int, _quote_parts int, _window_parts int"
+        rows, "asset string, _span int, _slot int, _quote_parts int, _window_parts int"
     )
     return (
         _spread(quotes, heavy, "quote", "window"),
@@ -182,7 +183,7 @@ def validity_join(
     left = _keyed_quotes(dated, size.spans)
     right = _filed_windows(windows)
     key: tuple[str, ...] = KEY
-    if size.filed_bytes <= broadcast_bytes:
+    if size.fits(broadcast_bytes):
         right = F.broadcast(right)
     else:
         left, right, key = _spread_heavy_keys(left, right, rows_per_task)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickerloom.functions.dates import with_quote_day
 from tickerloom.functions.numbers import number_or_null, rounded_shares
 from tickerloom.operators.equities import equity_filter, require_columns
-from tickerloom.operators.validity import measure_windows, validity_join
+from tickerloom.operators.validity import BROADCAST_BYTES, measure_windows, validity_join
 from tickerloom.sources.fixed_width import scan_quotes
 from tickerloom.sources.layout import QUOTE_LAYOUT, Layout
 from tickerloom.sources.membership import scan_members
@@ -21,26 +21,27 @@ def _check_volume_field(volume_field: str) -> None:
         raise ValueError(f"volume_field must be one of {VOLUME_FIELDS}, got {volume_field!r}")
 
 
-def sorted_rows(table: DataFrame) -> DataFrame:
-    """Rows by asset and date, ties by close and volume.
-
-    The partition a row comes from is the last sort key: range partitioning can
-    then cut through any number of equal rows instead of sending them to one task.
-    """
-    return (
-        table.withColumn("_origin", F.spark_partition_id())
-        .orderBy("asset", "date", "close", "volume", "_origin")
-        .drop("_origin")
-    )
+# Rows come with the partition they were found in.  As the last key of a shuffle or
+# sort it lets any number of equal rows go to different tasks.
+ORIGIN = "_origin"
 
 
 def consolidate(
-    quotes: DataFrame, members: DataFrame, volume_field: str = "volume_brl", **join_options: int
+    quotes: DataFrame,
+    members: DataFrame,
+    volume_field: str = "volume_brl",
+    broadcast_bytes: int = BROADCAST_BYTES,
+    ordered: bool = True,
 ) -> DataFrame:
     """``date, asset, close, volume`` of regular equities while in the index.
 
     ``volume`` is the money volume as double or the share volume as bigint.
-    ``join_options`` go to ``validity_join``.
+    Rows are sorted by asset and date, ties by close and volume; pass
+    ``ordered=False`` when the table goes to a writer with an order of its own.
+
+    A sort or range partitioning runs its input twice, first to sample the
+    ranges.  The result of a broadcast join is therefore shuffled before, narrow
+    rows of members only, so that the quote files are parsed once.
     """
     _check_volume_field(volume_field)
     equities = equity_filter(quotes)
@@ -49,12 +50,19 @@ def consolidate(
     size = measure_windows(windows)
     if size.rows == 0:
         raise ValueError("the membership table is empty")
-    joined = validity_join(with_quote_day(equities), windows, size, **join_options)
+    joined = validity_join(with_quote_day(equities), windows, size, broadcast_bytes)
     if volume_field == "volume_shares":
         volume = rounded_shares(F.col(volume_field), joined.schema[volume_field].dataType)
     else:
         volume = number_or_null(F.col(volume_field))
-    return sorted_rows(joined.select("date", "asset", "close", volume.alias("volume")))
+    rows = joined.select(
+        "date", "asset", "close", volume.alias("volume"), F.spark_partition_id().alias(ORIGIN)
+    )
+    if size.fits(broadcast_bytes):
+        rows = rows.repartition("asset", "date", ORIGIN)
+    if ordered:
+        rows = rows.orderBy("asset", "date", "close", "volume", ORIGIN)
+    return rows.drop(ORIGIN)
 
 
 def build_dataset(
@@ -64,7 +72,8 @@ def build_dataset(
     volume_field: str = "volume_brl",
     layout: Layout = QUOTE_LAYOUT,
     mode: str = "FAILFAST",
-    **join_options: int,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    ordered: bool = True,
 ) -> DataFrame:
     """The consolidated table straight from a quote and a portfolio directory.
 
@@ -74,4 +83,4 @@ def build_dataset(
     _check_volume_field(volume_field)
     quotes = scan_quotes(spark, quotes_dir, layout, mode)
     members = scan_members(spark, members_dir, infer_types=False)
-    return consolidate(quotes, members, volume_field, **join_options)
+    return consolidate(quotes, members, volume_field, broadcast_bytes, ordered)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,16 +39,17 @@ def write_csv(table: DataFrame, path: str) -> str:
     return path
 
 
-def write_parquet_by_year(table: DataFrame, path: str) -> str:
-    """Write Snappy-compressed Parquet, one directory per year.
+def _by_year(table: DataFrame) -> DataFrameWriter:
+    """Writer of Snappy-compressed Parquet, one directory per year.
 
     Rows are range-partitioned by year, asset and date, so that a big year is
     shared by many tasks, each task writes to few years, and files hold narrow
-    ranges of assets which readers can skip.
+    ranges of assets which readers can skip.  The partition a row comes from
+    lets the ranges cut through equal rows.
     """
     require_columns(table, "date", "asset")
     order = ["year", "asset", "date"]
-    (
+    return (
         table.withColumn("year", F.year("date"))
         .withColumn("_origin", F.spark_partition_id())
         .repartitionByRange(*order, "_origin")
@@ -57,8 +58,12 @@ def write_parquet_by_year(table: DataFrame, path: str) -> str:
         .write.mode("overwrite")
         .partitionBy("year")
         .option("compression", "snappy")
-        .parquet(path)
     )
+
+
+def write_parquet_by_year(table: DataFrame, path: str) -> str:
+    """Write a table as Parquet by year, replacing what is there."""
+    _by_year(table).parquet(path)
     return path
 
 
@@ -109,17 +114,5 @@ def publish_view(table: DataFrame, name: str) -> str:
 
 def save_table(table: DataFrame, name: str) -> str:
     """Store a table in the catalog as Parquet by year, for SQL across sessions."""
-    order = ["year", "asset", "date"]
-    (
-        table.withColumn("year", F.year("date"))
-        .withColumn("_origin", F.spark_partition_id())
-        .repartitionByRange(*order, "_origin")
-        .drop("_origin")
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .partitionBy("year")
-        .option("compression", "snappy")
-        .format("parquet")
-        .saveAsTable(name)
-    )
+    _by_year(table).format("parquet").saveAsTable(name)
     return name

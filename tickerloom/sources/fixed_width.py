@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.functions.numbers import cents_to_units, whole_number
-from tickerloom.functions.text import strip
+from tickerloom.functions.text import LATIN1_WHITESPACE, strip
 from tickerloom.sources.layout import QUOTE_LAYOUT, Field, Layout
 from tickerloom.sources.listing import QUOTE_FILES, path_missing
 
@@ -24,7 +24,7 @@ def _bytes(field: Field) -> Column:
 
 
 def _text(field: Field) -> Column:
-    return strip(F.decode(_bytes(field), CHARSET))
+    return strip(F.decode(_bytes(field), CHARSET), LATIN1_WHITESPACE)
 
 
 def _digits(field: Field) -> Column:

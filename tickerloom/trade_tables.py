@@ -15,6 +15,7 @@ from tickerloom.sources.layout import QUOTE_LAYOUT, Layout
 
 LINE_WIDTH = 245
 YEARS = range(1995, 2002)
+PORTFOLIO_FILE_YEARS = (1996, 1997)
 # Start, end and the part type that is not in the index, per term; the last two overlap.
 TERMS = (
     ("01-02", "04-02", "PROMO"),
@@ -94,7 +95,7 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cents(amount: str) -> Column:
-    return F.round(F.col(amount) * 100).cast("bigint")
+    return (F.col(amount) * 100 + 0.5).cast("bigint")
 
 
 def quote_lines(
@@ -114,7 +115,9 @@ def quote_lines(
         shares_text = F.when(F.col("l_linenumber") != 7, shares_text)
     values = {
         "record_type": F.lit(layout.quote_type),
-        "date_raw": F.date_format("l_shipdate", "yyyyMMdd"),
+        "date_raw": F.replace(
+            F.col("l_shipdate").cast("date").cast("string"), F.lit("-"), F.lit("")
+        ),
         "BDI": F.when(F.col("l_returnflag") == "N", "96").otherwise("02"),
         "asset": F.when(F.col("l_linestatus") == "F", F.lower(ticker)).otherwise(ticker),
         "spec": F.when(F.col("l_linenumber") == 3, "BDR").otherwise("PNÃ  N1"),
@@ -122,28 +125,27 @@ def quote_lines(
         "volume_shares": shares_text,
         "volume_brl": (_cents("l_extendedprice") * shares).cast("string"),
     }
+    # Joined as bytes: one per character, so that only texts need encoding.
     pieces, at = [], 1
     for field in sorted((layout.record_type, *layout.fields), key=lambda f: f.position):
         if field.position > at:
-            pieces.append(F.lit(" " * (field.position - at)))
+            pieces.append(F.lit(" " * (field.position - at)).cast("binary"))
         if field.kind == "text":
-            pieces.append(F.rpad(values[field.name], field.width, " "))
+            pieces.append(F.encode(F.rpad(values[field.name], field.width, " "), "ISO-8859-1"))
         else:
             digits = F.lpad(values[field.name], field.width, "0")
-            pieces.append(F.coalesce(digits, F.lit(" " * field.width)))
+            pieces.append(F.coalesce(digits, F.lit(" " * field.width)).cast("binary"))
         at = field.last + 1
-    pieces.append(F.lit(" " * (LINE_WIDTH + 1 - at)))
-    records = quotes.select(year.alias("year"), F.concat(*pieces).alias("line"))
+    pieces.append(F.lit(" " * (LINE_WIDTH + 1 - at)).cast("binary"))
+    records = quotes.select(year.alias("year"), F.concat(*pieces).cast("string").alias("value"))
 
     edges = F.array(*[F.rpad(F.lit(kind), LINE_WIDTH, " ") for kind in ("00", "99")])
     frames = (
         quotes.select(year.alias("year"))
         .distinct()
-        .select("year", F.explode(edges).alias("line"))
-    )
-    return records.unionByName(frames).select(
-        "year", F.encode("line", "ISO-8859-1").cast("string").alias("value")
+        .select("year", F.explode(edges).alias("value"))
     )
+    return records.unionByName(frames)
 
 
 def write_quote_files(spark: SparkSession, sf_dir: str, blank_volume: bool = True) -> str:
@@ -159,16 +161,15 @@ def write_quote_files(spark: SparkSession, sf_dir: str, blank_volume: bool = Tru
 
 
 def write_portfolio_files(spark: SparkSession, sf_dir: str) -> str:
-    """One portfolio per term in two dialects, next to a file whose name does not fit."""
+    """Portfolios of two years in two dialects, next to a file whose name does not fit."""
     path = scratch_path(spark, "portfolios")
-    rows = members(spark, sf_dir)
     parts = table(spark, sf_dir, "part").select(
         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("asset"),
         "p_type",
         "p_size",
         "p_retailprice",
     )
-    for year in YEARS:
+    for year in PORTFOLIO_FILE_YEARS:
         for number, (start, end, left_out) in enumerate(TERMS):
             inside = parts.where(F.col("p_type") != left_out)
             untidy = F.concat(F.lit(" "), F.lower("asset"), F.lit(" "))
@@ -186,5 +187,5 @@ def write_portfolio_files(spark: SparkSession, sf_dir: str) -> str:
                 f"{path}/{name}", header=True, sep=sep,
                 ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
             )
-    rows.limit(0).select("asset").write.csv(f"{path}/IBOV_draft.csv", header=True)
+    parts.limit(0).select("asset").write.csv(f"{path}/IBOV_draft.csv", header=True)
     return path
