@@ -108,6 +108,20 @@ def test_directory_errors(spark, tmp_path):
         tl.scan_members(spark, str(bad))
 
 
+def test_part_files(spark, tmp_path):
+    folder = tmp_path / "with blank" / "IBOV_2024-01-02_2024-04-02.csv"
+    write_text(folder / "part-0.csv", "Codigo,Peso\nPETR4,3\n")
+    write_text(folder / "part-1.csv", "Codigo,Peso\nVALE3,4\n")
+    write_text(folder / "_SUCCESS", "")
+    table = tl.scan_members(spark, str(tmp_path / "with blank"))
+    assert sorted(rows(table.select("asset", "start", "Peso"))) == [
+        ("PETR4", date(2024, 1, 2), 3), ("VALE3", date(2024, 1, 2), 4),
+    ]
+    write_text(folder / "part-2.csv", "Codigo,Tipo\nITUB4,PN\n")
+    with pytest.raises(ValueError):
+        tl.scan_members(spark, str(tmp_path / "with blank"))
+
+
 def test_no_portfolio_is_an_empty_table(spark, tmp_path):
     write_text(tmp_path / "README.txt", "ignore")
     table = tl.scan_members(spark, str(tmp_path))

@@ -32,6 +32,15 @@ def day_or_null(value: Column) -> Column:
     return value.try_cast("date")
 
 
+def day_or_error(value: Column) -> Column:
+    """Date, timestamp or ISO text as a date; unparsable text fails the job."""
+    day = day_or_null(value)
+    problem = F.concat(F.lit("invalid date: "), value.cast("string"))
+    return F.when(value.isNull() | day.isNotNull(), day).otherwise(
+        F.raise_error(problem).cast("date")
+    )
+
+
 def with_quote_day(quotes: DataFrame) -> DataFrame:
     """Quotes with a ``date`` column of type date.
 

@@ -87,7 +87,8 @@ def close_histogram(df: DataFrame, bins: int = 5) -> DataFrame:
     counts = prices.groupBy(_bin_of(F.col("close"), inner).alias("bin")).agg(
         F.count(F.lit(1)).alias("count")
     )
-    return names.join(counts, "bin", "left").fillna(0, subset=["count"]).orderBy("bin")
+    # One row per bin at most, so the counts can always be broadcast.
+    return names.join(F.broadcast(counts), "bin", "left").fillna(0, subset=["count"]).orderBy("bin")
 
 
 def volume_magnitude(df: DataFrame, volume_field: str = "volume") -> DataFrame:

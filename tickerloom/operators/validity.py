@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickerloom.functions.dates import with_quote_day
+from tickerloom.functions.dates import day_or_error, day_or_null, with_quote_day
 from tickerloom.functions.text import quoted
 from tickerloom.operators.equities import require_columns
 
@@ -58,7 +58,12 @@ class WindowSize:
 
 def _as_windows(members: DataFrame) -> DataFrame:
     require_columns(members, "asset", "start", "end")
-    return members.withColumns({"start": F.col("start").cast("date"), "end": F.col("end").cast("date")})
+    bounds = {}
+    for name in ("start", "end"):
+        is_text = isinstance(members.schema[name].dataType, T.StringType)
+        convert = day_or_error if is_text else day_or_null
+        bounds[name] = convert(F.col(name))
+    return members.withColumns(bounds)
 
 
 def _span_step() -> Column:

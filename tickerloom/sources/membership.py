@@ -22,10 +22,13 @@ log = logging.getLogger(__name__)
 # Portfolio file names, the label of the ticker column once
 # normalised, and the delimiters looked for in a header, first match wins.
 PORTFOLIO_FILES = "IBOV_*.csv"
-PORTFOLIO_NAME = r"/IBOV_(\d{4}-\d{2}-\d{2})_(\d{4}-\d{2}-\d{2})\.csv(?:/[^/]*)?$"
+PORTFOLIO_NAME = r"/IBOV_(\d{4}-\d{2}-\d{2})_(\d{4}-\d{2}-\d{2})\.csv$"
 ASSET_LABEL = "codigo"
 DELIMITERS = (",", "\t", ";", " ", ":")
 
+# A portfolio may also be a directory of part files, as Spark writes them.
+PART_FILE = r"(/IBOV_[^/]*\.csv)/[^/]*$"
+
 EMPTY_SCHEMA = "asset string, start date, end date"
 
 
@@ -38,25 +41,33 @@ def _delimiter(header: str) -> str:
     return next((mark for mark in DELIMITERS if mark in header), ",")
 
 
-def _file_headers(lines: DataFrame) -> list[tuple[str, str]]:
-    """Path and first non-blank line of each file: one small row per file.
+def _headers(lines: DataFrame, unit: Column) -> dict[str, list[str]]:
+    """Portfolios by header line: one small row each, however many part files they have.
 
     The start of a file lies in a single split, so the smallest running row
     number there is its first line.
     """
-    rows = (
+    files = (
         lines.select(
+            unit.alias("unit"),
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
             "value",
         )
         .where((F.col("block") == 0) & (F.trim("value") != ""))
-        .groupBy("path")
+        .groupBy("unit", "path")
         .agg(F.min_by("value", "row").alias("header"))
-        .collect()
     )
-    return [(row["path"], row["header"]) for row in rows]
+    portfolios = files.groupBy("unit").agg(
+        F.min("header").alias("header"), F.max("header").alias("other")
+    )
+    groups: dict[str, list[str]] = defaultdict(list)
+    for row in portfolios.orderBy("unit").collect():
+        if row["header"] != row["other"]:
+            raise ValueError(f"part files of {row['unit']} have different headers")
+        groups[row["header"]].append(row["unit"])
+    return groups
 
 
 def _asset_column(columns: list[str], where: str) -> str:
@@ -118,25 +129,16 @@ def scan_portfolio(
         if path_missing(error):
             raise FileNotFoundError(f"no portfolio file at {path}") from error
         raise
-    headers = _file_headers(lines)
+    headers = _headers(lines, F.lit(path))
     if not headers:
         raise ValueError(f"portfolio file {path} is empty")
+    (header,) = headers
     period = [F.lit(start).cast("date"), F.lit(end).cast("date")]
-    return _union_by_name(
-        [_read_dialect(spark, paths, header, *period, infer_types)
-         for header, paths in _by_header(headers).items()]
-    )
+    return _read_dialect(spark, [path], header, *period, infer_types)
 
 
-def _by_header(headers: list[tuple[str, str]]) -> dict[str, list[str]]:
-    groups: dict[str, list[str]] = defaultdict(list)
-    for path, header in sorted(headers):
-        groups[header].append(path)
-    return groups
-
-
-def _named_period(path: str) -> tuple[date, date] | None:
-    match = re.search(PORTFOLIO_NAME, unquote(path))
+def _named_period(unit: str) -> tuple[date, date] | None:
+    match = re.search(PORTFOLIO_NAME, unit)
     if match is None:
         return None
     start, end = (date.fromisoformat(text) for text in match.groups())
@@ -166,28 +168,30 @@ def scan_members(spark: SparkSession, directory: str, infer_types: bool = True)
         if path_missing(error):
             return spark.createDataFrame([], EMPTY_SCHEMA)
         raise
-    named = []
+    named = set()
     for path in lines.inputFiles():
-        if _named_period(path) is None:
-            log.warning("skipping %s: no validity period in its name", path)
+        unit = re.sub(PART_FILE, r"\1", unquote(path))
+        if _named_period(unit) is None:
+            log.warning("skipping %s: no validity period in its name", unit)
         else:
-            named.append(unquote(path))
+            named.add(unit.rsplit("/", 1)[-1])
     if not named:
         return spark.createDataFrame([], EMPTY_SCHEMA)
 
-    fits = F.col("_metadata.file_path").rlike(PORTFOLIO_NAME)
-    headers = _file_headers(lines.where(fits))
-    empty = {name.rsplit("/", 1)[-1] for name in named} - {
-        unquote(path).rsplit("/", 1)[-1] for path, _ in headers
+    unit = F.regexp_replace("_metadata.file_path", PART_FILE, "$1")
+    # Spark gives these paths URL-encoded.
+    headers = {
+        header: [unquote(path) for path in paths]
+        for header, paths in _headers(lines.where(unit.rlike(PORTFOLIO_NAME)), unit).items()
     }
-    if empty:
-        raise ValueError(f"portfolio files without a header: {sorted(empty)}")
+    read = {path.rsplit("/", 1)[-1] for paths in headers.values() for path in paths}
+    if named - read:
+        raise ValueError(f"portfolios without a header: {sorted(named - read)}")
 
-    start, end = (
-        F.regexp_extract("_metadata.file_path", PORTFOLIO_NAME, group).cast("date")
-        for group in (1, 2)
-    )
+    start, end = (F.regexp_extract(unit, PORTFOLIO_NAME, group).cast("date") for group in (1, 2))
     return _union_by_name(
-        [_read_dialect(spark, paths, header, start, end, infer_types)
-         for header, paths in _by_header(headers).items()]
+        [
+            _read_dialect(spark, paths, header, start, end, infer_types)
+            for header, paths in headers.items()
+        ]
     )
