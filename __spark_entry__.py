@@ -336,8 +336,9 @@ def _histogram_sql(source: str, bins: int) -> str:
         FROM range(1, {bins} + 1) AS r(n), span
     )
     SELECT bin, lower, upper,
-           '(' || CASE WHEN bin = 1 THEN round(lower, 3) - CAST(0.001 AS DOUBLE) ELSE round(lower, 3) END
-               || ', ' || round(upper, 3) || ']' AS label,
+           '(' || CASE WHEN bin = 1 THEN round_even(lower, 3) - CAST(0.001 AS DOUBLE)
+                       ELSE round_even(lower, 3) END
+               || ', ' || round_even(upper, 3) || ']' AS label,
            count(close) AS count
     FROM bars LEFT JOIN prices ON close > lower AND close <= upper
     GROUP BY bin, lower, upper

@@ -1,5 +1,6 @@
 """One local session for all tests."""
 
+import os
 import sys
 from pathlib import Path
 
@@ -16,9 +17,11 @@ def spark(tmp_path_factory):
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.ansi.enabled", os.environ.get("TEST_ANSI", "true"))
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))

@@ -1,5 +1,6 @@
-"""Every registered query against its SQL, on the whole small tables."""
+"""Every registered query against its SQL, on whole tables (``TEST_SF_DIR``)."""
 
+import os
 from pathlib import Path
 
 import duckdb
@@ -7,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"

@@ -18,12 +18,16 @@ LABEL_DECIMALS = 3
 
 
 def _rounded(value: float, decimals: int) -> float:
-    """Round as labels do: numbers below one keep ``decimals`` significant digits."""
+    """Round as labels do, halves of the scaled number to even.
+
+    Numbers below one keep ``decimals`` significant digits.
+    """
     if value == 0:
         return value
     if abs(value) < 1:
         decimals += -math.floor(math.log10(abs(value))) - 1
-    return round(value, decimals)
+    scale = 10.0**decimals
+    return round(value * scale) / scale
 
 
 def _labels(edges: list[float]) -> list[str]:

@@ -102,15 +102,16 @@ def _union_by_name(tables: list[DataFrame]) -> DataFrame:
     """Union of differing columns, missing ones null.
 
     A column that is numeric in one table and text in another becomes text.
+    Spark matches the names without regard to case.
     """
     kinds: dict[str, set[bool]] = defaultdict(set)
     for table in tables:
         for field in table.schema.fields:
-            kinds[field.name].add(isinstance(field.dataType, T.NumericType))
-    mixed = [name for name, seen in kinds.items() if len(seen) > 1]
+            kinds[field.name.lower()].add(isinstance(field.dataType, T.NumericType))
+    mixed = {name for name, seen in kinds.items() if len(seen) > 1}
 
     def aligned(table: DataFrame) -> DataFrame:
-        present = [name for name in mixed if name in table.columns]
+        present = [name for name in table.columns if name.lower() in mixed]
         return table.withColumns({name: F.col(quoted(name)).cast("string") for name in present})
 
     return reduce(
