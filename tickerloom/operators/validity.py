@@ -15,12 +15,15 @@ has a third of the quotes.  So time takes part in the join key:
 The windows are measured first.  Below a byte limit they are broadcast and the
 quotes are not shuffled; beyond it both sides are shuffled on the key, with
 keys that hold more rows than a task should take spread over several tasks.
+Which keys those are only decides where rows go, never which rows come out, so
+they are found in a sample large enough to show them.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +40,8 @@ ROWS_PER_TASK = 4_000_000
 # So many of the heaviest keys are split; a lighter key holds less than a
 # 1/10000 share of the rows and goes through the plain shuffle.
 MAX_HEAVY_KEYS = 10_000
+# A key worth splitting has about this many rows in the sample that looks for them.
+SAMPLED_PER_HEAVY_KEY = 1_000
 
 SPAN_BITS = 3  # spans grow by 2^3, from one day to 8^8 days, past the year 9999
 SPAN_STEPS = 9
@@ -113,16 +118,20 @@ def _keyed_quotes(quotes: DataFrame, spans: tuple[int, ...]) -> DataFrame:
 
 def _heavy_keys(side: DataFrame, rows_per_task: int) -> dict[tuple, int]:
     """Number of tasks for each key that is too big for one, the heaviest first."""
+    keys = side.where(F.col("asset").isNotNull()).select(*KEY)
+    fraction = min(1.0, SAMPLED_PER_HEAVY_KEY / rows_per_task)
+    if fraction < 1:
+        keys = keys.sample(fraction=fraction, seed=1)
+    share = rows_per_task * fraction
     rows = (
-        side.where(F.col("asset").isNotNull())
-        .groupBy(*KEY)
+        keys.groupBy(*KEY)
         .agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") > rows_per_task)
+        .where(F.col("rows") > share)
         .orderBy(F.desc("rows"))
         .limit(MAX_HEAVY_KEYS)
         .collect()
     )
-    return {tuple(row[name] for name in KEY): -(-row["rows"] // rows_per_task) for row in rows}
+    return {tuple(row[name] for name in KEY): ceil(row["rows"] / share) for row in rows}
 
 
 def _spread(side: DataFrame, heavy: DataFrame, own: str, other: str) -> DataFrame:

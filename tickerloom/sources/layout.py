@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+KINDS = ("code", "text", "whole", "cents")
+
 
 @dataclass(frozen=True)
 class Field:
-    """A slice of the line: 1-based position, width, and ``text``, ``whole`` or ``cents``."""
+    """A slice of the line: 1-based position, width and kind.
+
+    ``code`` is an ASCII token, ``text`` any ISO-8859-1 text, ``whole`` an
+    integer and ``cents`` an amount in hundredths.
+    """
 
     name: str
     position: int
@@ -15,9 +21,13 @@ class Field:
     kind: str = "text"
 
     def __post_init__(self) -> None:
-        if self.kind not in ("text", "whole", "cents"):
+        if self.kind not in KINDS:
             raise ValueError(f"unknown field kind {self.kind!r}")
 
+    @property
+    def is_number(self) -> bool:
+        return self.kind in ("whole", "cents")
+
     @property
     def last(self) -> int:
         return self.position + self.width - 1
@@ -42,14 +52,14 @@ class Layout:
 # The exchange's quote record (type 01), ISO-8859-1.
 QUOTE_LAYOUT = Layout(
     fields=(
-        Field("date_raw", 3, 8),
-        Field("BDI", 11, 2),
+        Field("date_raw", 3, 8, "code"),
+        Field("BDI", 11, 2, "code"),
         Field("asset", 13, 12),
         Field("spec", 40, 10),
         Field("close", 109, 13, "cents"),
         Field("volume_shares", 153, 18, "whole"),
         Field("volume_brl", 171, 18, "cents"),
     ),
-    record_type=Field("record_type", 1, 2),
+    record_type=Field("record_type", 1, 2, "code"),
     quote_type="01",
 )

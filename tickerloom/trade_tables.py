@@ -130,7 +130,7 @@ def quote_lines(
     for field in sorted((layout.record_type, *layout.fields), key=lambda f: f.position):
         if field.position > at:
             pieces.append(F.lit(" " * (field.position - at)).cast("binary"))
-        if field.kind == "text":
+        if not field.is_number:
             pieces.append(F.encode(F.rpad(values[field.name], field.width, " "), "ISO-8859-1"))
         else:
             digits = F.lpad(values[field.name], field.width, "0")
@@ -140,10 +140,8 @@ def quote_lines(
     records = quotes.select(year.alias("year"), F.concat(*pieces).cast("string").alias("value"))
 
     edges = F.array(*[F.rpad(F.lit(kind), LINE_WIDTH, " ") for kind in ("00", "99")])
-    frames = (
-        quotes.select(year.alias("year"))
-        .distinct()
-        .select("year", F.explode(edges).alias("value"))
+    frames = spark.range(YEARS.start, YEARS.stop).select(
+        F.col("id").cast("int").alias("year"), F.explode(edges).alias("value")
     )
     return records.unionByName(frames)
 
