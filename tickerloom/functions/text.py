@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -32,9 +33,7 @@ def normalize_asset(asset: Column) -> Column:
 
 def normalize_label(label: str) -> str:
     """Column label in lower case without accents and blanks (plan-time metadata)."""
-    decomposed = unicodedata.normalize("NFKD", label)
-    plain = "".join(ch for ch in decomposed if unicodedata.combining(ch) == 0)
-    return plain.replace(" ", "").lower()
+    return re.sub("[\u0300-\u036f ]", "", unicodedata.normalize("NFKD", label)).lower()
 
 
 def quoted(name: str) -> str:

@@ -40,6 +40,8 @@ ROWS_PER_TASK = 4_000_000
 # So many of the heaviest keys are split; a lighter key holds less than a
 # 1/10000 share of the rows and goes through the plain shuffle.
 MAX_HEAVY_KEYS = 10_000
+# No key is split further than this; its parts then hold more rows instead.
+MAX_PARTS = 10_000
 # A key worth splitting has about this many rows in the sample that looks for them.
 SAMPLED_PER_HEAVY_KEY = 1_000
 
@@ -131,7 +133,9 @@ def _heavy_keys(side: DataFrame, rows_per_task: int) -> dict[tuple, int]:
         .limit(MAX_HEAVY_KEYS)
         .collect()
     )
-    return {tuple(row[name] for name in KEY): ceil(row["rows"] / share) for row in rows}
+    return {
+        tuple(row[name] for name in KEY): min(MAX_PARTS, ceil(row["rows"] / share)) for row in rows
+    }
 
 
 def _spread(side: DataFrame, heavy: DataFrame, own: str, other: str) -> DataFrame:

@@ -102,8 +102,9 @@ def read_year_table(
 
 
 def ticker_history(table: DataFrame, asset: str | Column) -> DataFrame:
-    """The rows of one asset, by date."""
-    return table.where(F.col("asset") == asset).orderBy("date")
+    """The rows of one asset, by date; rows of one day may be sorted by several tasks."""
+    rows = table.where(F.col("asset") == asset).withColumn("_origin", F.spark_partition_id())
+    return rows.orderBy("date", "_origin").drop("_origin")
 
 
 def publish_view(table: DataFrame, name: str) -> str:

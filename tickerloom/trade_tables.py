@@ -98,9 +98,7 @@ def _cents(amount: str) -> Column:
     return (F.col(amount) * 100 + 0.5).cast("bigint")
 
 
-def quote_lines(
-    spark: SparkSession, sf_dir: str, layout: Layout = QUOTE_LAYOUT, blank_volume: bool = True
-) -> DataFrame:
+def quote_lines(spark: SparkSession, sf_dir: str, layout: Layout = QUOTE_LAYOUT) -> DataFrame:
     """Order lines as fixed-width quote records: ``year, value`` with ISO-8859-1 bytes.
 
     Headers and trailers of each year are among them.  Share volumes of the
@@ -110,9 +108,6 @@ def quote_lines(
     year = F.year("l_shipdate")
     ticker = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
     shares = F.col("l_quantity").cast("bigint")
-    shares_text = shares.cast("string")
-    if blank_volume:
-        shares_text = F.when(F.col("l_linenumber") != 7, shares_text)
     values = {
         "record_type": F.lit(layout.quote_type),
         "date_raw": F.replace(
@@ -121,20 +116,23 @@ def quote_lines(
         "BDI": F.when(F.col("l_returnflag") == "N", "96").otherwise("02"),
         "asset": F.when(F.col("l_linestatus") == "F", F.lower(ticker)).otherwise(ticker),
         "spec": F.when(F.col("l_linenumber") == 3, "BDR").otherwise("PNÃ  N1"),
-        "close": _cents("l_extendedprice").cast("string"),
-        "volume_shares": shares_text,
-        "volume_brl": (_cents("l_extendedprice") * shares).cast("string"),
+        "close": _cents("l_extendedprice"),
+        "volume_shares": F.when(F.col("l_linenumber") != 7, shares),
+        "volume_brl": _cents("l_extendedprice") * shares,
     }
     # Joined as bytes: one per character, so that only texts need encoding.
     pieces, at = [], 1
     for field in sorted((layout.record_type, *layout.fields), key=lambda f: f.position):
         if field.position > at:
             pieces.append(F.lit(" " * (field.position - at)).cast("binary"))
-        if not field.is_number:
-            pieces.append(F.encode(F.rpad(values[field.name], field.width, " "), "ISO-8859-1"))
-        else:
-            digits = F.lpad(values[field.name], field.width, "0")
+        value = values[field.name]
+        if field.is_number:
+            digits = F.substring((value + 10**field.width).cast("string"), 2, field.width)
             pieces.append(F.coalesce(digits, F.lit(" " * field.width)).cast("binary"))
+        elif field.kind == "code":
+            pieces.append(value.cast("binary"))
+        else:
+            pieces.append(F.encode(F.rpad(value, field.width, " "), "ISO-8859-1"))
         at = field.last + 1
     pieces.append(F.lit(" " * (LINE_WIDTH + 1 - at)).cast("binary"))
     records = quotes.select(year.alias("year"), F.concat(*pieces).cast("string").alias("value"))
@@ -146,12 +144,12 @@ def quote_lines(
     return records.unionByName(frames)
 
 
-def write_quote_files(spark: SparkSession, sf_dir: str, blank_volume: bool = True) -> str:
+def write_quote_files(spark: SparkSession, sf_dir: str) -> str:
     """One quote file a year, each a directory of part files; the directory holding them."""
     path = scratch_path(spark, "quotes")
     (
-        quote_lines(spark, sf_dir, blank_volume=blank_volume)
-        .select(F.format_string("%d.TXT", "year").alias("COTAHIST_A"), "value")
+        quote_lines(spark, sf_dir)
+        .select(F.concat(F.col("year").cast("string"), F.lit(".TXT")).alias("COTAHIST_A"), "value")
         .write.partitionBy("COTAHIST_A")
         .text(path)
     )
