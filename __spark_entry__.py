@@ -7,14 +7,19 @@ first write them from the tables into the session's scratch folder.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import tickerloom as tl
-from tickerloom import trade_tables as tables
-from tickerloom.scratch import scratch_path
+# The driver may load this file from another folder.
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import tickerloom as tl  # noqa: E402
+from tickerloom import trade_tables as tables  # noqa: E402
+from tickerloom.scratch import scratch_path  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
