@@ -131,6 +131,7 @@ def test_file_report_and_listing(spark, tmp_path):
     write_lines(tmp_path / "COTAHIST_A.TXT", [quote_line()])
     write_lines(tmp_path / "other.csv", ["a"])
     (tmp_path / "folder").mkdir()
+    write_lines(tmp_path / "year=2024" / "COTAHIST_C.TXT", [quote_line()])
     assert rows(tl.quote_file_report(spark, str(tmp_path))) == [
         ("COTAHIST_A.TXT", 1, 1), ("COTAHIST_B.TXT", 8, 7),
     ]
@@ -138,6 +139,7 @@ def test_file_report_and_listing(spark, tmp_path):
     assert rows(listed) == [("COTAHIST_A.TXT", 246), ("COTAHIST_B.TXT", 8 * 246)]
     names = [row["name"] for row in tl.list_files(spark, str(tmp_path)).collect()]
     assert names == ["COTAHIST_A.TXT", "COTAHIST_B.TXT", "other.csv"]
+    assert tl.list_files(spark, f"file://{tmp_path}/").count() == 3
 
 
 def test_listing_a_missing_directory_is_empty(spark, tmp_path):

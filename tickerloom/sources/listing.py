@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,21 +24,23 @@ def list_files(spark: SparkSession, directory: str, pattern: str | None = None)
     Only names, sizes and times are read, never contents.  ``pattern`` is a
     case-sensitive glob.  Hidden files (leading ``.`` or ``_``) are left out.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false")
-    if pattern is not None:
-        reader = reader.option("pathGlobFilter", pattern)
+    root = directory.rstrip("/")
     try:
-        files = reader.load(directory)
+        files = spark.read.format("binaryFile").load(f"{root}/{pattern or '*'}")
     except AnalysisException as error:
         if path_missing(error):
             return spark.createDataFrame([], LISTING_SCHEMA)
         raise
-    return files.select(
-        F.substring_index("path", "/", -1).alias("name"),
-        "path",
-        "length",
-        F.col("modificationTime").alias("modified"),
-    ).orderBy("name")
+    name = F.substring_index("path", "/", -1)
+    # A pattern may match folders too, whose files are then listed as well.
+    folder = re.sub(r"^[a-z0-9]+:/*(?=/)|^(\./)+", "", root)
+    return (
+        files.where(F.col("path").endswith(F.concat(F.lit(f"{folder}/"), name)))
+        .select(
+            name.alias("name"), "path", "length", F.col("modificationTime").alias("modified")
+        )
+        .orderBy("name")
+    )
 
 
 def list_quote_files(spark: SparkSession, directory: str) -> DataFrame:
