@@ -21,6 +21,14 @@ import tickerloom as tl  # noqa: E402
 from tickerloom import trade_tables as tables  # noqa: E402
 from tickerloom.scratch import scratch_path  # noqa: E402
 
+try:  # The corpus operators come with their own folder and can be left out.
+    import corpus_pipeline
+    from tickerloom.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if not f"{missing.name}.".startswith(("corpus_pipeline.", "tickerloom.llm.")):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 CLASSES = {"02": "round lot", "96": "odd lot"}
@@ -269,7 +277,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         top_assets,
         asset_counts,
     )
-    return {query.__name__: query for query in registered}
+    named = {query.__name__: query for query in registered}
+    if corpus_queries is not None:
+        named |= corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return named
 
 
 # --- expected rows -------------------------------------------------------------------
@@ -365,7 +376,12 @@ def oracle_sql() -> dict[str, str]:
                CAST(l_shipdate AS DATE) AS date, l_extendedprice AS close
         FROM lineitem
     """
-    return {
+    corpus = {}
+    if corpus_queries is not None:
+        corpus = dict(corpus_queries.ORACLE_SQL)
+        if corpus_pipeline.ORACLE_SQL is not None:
+            corpus["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return corpus | {
         "fixed_width_scan": _QUOTE_RECORDS
         + ", CAST(year(l_shipdate) AS VARCHAR) AS file FROM lineitem",
         "fixed_width_parse": _QUOTE_RECORDS + " FROM lineitem",

@@ -1,6 +1,7 @@
 """Every registered query against its SQL, on whole tables (``TEST_SF_DIR``)."""
 
 import os
+import re
 from pathlib import Path
 
 import duckdb
@@ -32,11 +33,15 @@ def _sorted_rows(columns, rows):
     return sorted(picked, key=lambda row: tuple((v is None, str(v)) for v in row))
 
 
+# The corpus operators are tested in their own folder.
+OWN = [n for n in entry_point.queries() if n != "pipeline" and not re.match(r"op\d+_", n)]
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(OWN) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry_point.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_sql(spark, duck, name):
     result = entry_point.queries()[name](spark, SF_DIR)
     mine = _sorted_rows(result.columns, [tuple(row) for row in result.collect()])
