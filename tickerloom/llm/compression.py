@@ -2,9 +2,10 @@
 
 Two zstandard dictionaries are trained, one from good and one from bad labelled
 texts.  A text that shares the habits of one side compresses better with that
-side's dictionary; the difference of the two sizes over their sum is turned
-into a probability by a logistic curve fitted on labelled texts that went into
-neither dictionary.
+side's dictionary.  The difference of the two sizes over their sum, and how far
+the text shrinks without any dictionary (text that repeats itself shrinks far
+under both), are turned into a probability by a logistic curve fitted on
+labelled texts that went into neither dictionary.
 """
 
 from __future__ import annotations
@@ -21,23 +22,25 @@ from tickerloom.llm.common import column, fit_logistic, is_held_out, labelled_sa
 LEVEL = 3
 #: Long texts are compressed piece by piece, so that the dictionary serves all of the text.
 PIECE_BYTES = 16_384
+#: Prose keeps at least this share of its bytes when compressed alone.
+ORDINARY = 0.3
 
 
 @dataclass(frozen=True)
 class CompressionModel:
-    """What scoring needs; 2 * ``dictionary_bytes`` and two numbers."""
+    """What scoring needs; 2 * ``dictionary_bytes`` and three numbers."""
 
     good: bytes
     bad: bytes
-    slope: float
+    weights: tuple[float, float]
     intercept: float
 
-    def score(self, difference: float) -> float:
-        return sigmoid(self.slope * difference + self.intercept)
+    def score(self, features: tuple[float, float]) -> float:
+        return sigmoid(sum(w * x for w, x in zip(self.weights, features, strict=True)) + self.intercept)
 
 
 class Sizes:
-    """Compressed sizes under the two dictionaries."""
+    """Compressed sizes under the two dictionaries and none."""
 
     def __init__(self, good: bytes, bad: bytes):
         import zstandard
@@ -51,15 +54,16 @@ class Sizes:
             )
             for raw in (good, bad)
         ]
+        self.sides.append(zstandard.ZstdCompressor(level=LEVEL, write_content_size=False))
 
-    def difference(self, text: str | None) -> float:
-        """(bad - good) / (bad + good) over the whole text; 0 for none."""
+    def features(self, text: str | None) -> tuple[float, float]:
+        """100 * (bad - good) / (bad + good) and 10 * the shrinking beyond ``ORDINARY``; 0 for no text."""
         raw = (text or "").encode()
         if not raw:
-            return 0.0
+            return 0.0, 0.0
         pieces = [raw[i : i + PIECE_BYTES] for i in range(0, len(raw), PIECE_BYTES)]
-        good, bad = (sum(len(side.compress(piece)) for piece in pieces) for side in self.sides)
-        return (bad - good) / (bad + good)
+        good, bad, alone = (sum(len(side.compress(piece)) for piece in pieces) for side in self.sides)
+        return 100 * (bad - good) / (bad + good), 10 * max(0.0, ORDINARY - alone / len(raw))
 
 
 def _dictionary(texts: list[str], size: int) -> bytes:
@@ -91,16 +95,16 @@ def fit_compression(
     side = {mark: [text for text, m in sample if m == mark and text] for mark in (0, 1)}
     if min(map(len, side.values())) < 2:
         odds = min(max(share, 1e-3), 1 - 1e-3)
-        return CompressionModel(b"", b"", 0.0, float(np.log(odds / (1 - odds))))
+        return CompressionModel(b"", b"", (0.0, 0.0), float(np.log(odds / (1 - odds))))
     good, bad = (_dictionary(side[mark][::2], dictionary_bytes) for mark in (1, 0))
     sizes = Sizes(good, bad)
-    rest = [(sizes.difference(text), mark) for mark in (0, 1) for text in side[mark][1::2]]
-    x = np.array([d for d, _ in rest])[:, None] * 100
+    rest = [(sizes.features(text), mark) for mark in (0, 1) for text in side[mark][1::2]]
+    x = np.array([features for features, _ in rest])
     y = np.array([mark for _, mark in rest], float)
     prior = {1: share, 0: 1 - share}
     weight = np.array([prior[m] * len(rest) / (len(side[m][1::2])) for _, m in rest])
-    slope, intercept = fit_logistic(x, y, weight)
-    return CompressionModel(good, bad, float(slope) * 100, float(intercept))
+    *weights, intercept = map(float, fit_logistic(x, y, weight))
+    return CompressionModel(good, bad, tuple(weights), intercept)
 
 
 _sizes: dict[int, Sizes] = {}
@@ -112,13 +116,13 @@ def compression_score(text: Column, model: CompressionModel) -> Column:
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         if not model.good:
-            return pa.array([model.score(0.0)] * len(texts), pa.float64())
+            return pa.array([model.score((0.0, 0.0))] * len(texts), pa.float64())
         key = hash((model.good, model.bad))
         if key not in _sizes:
             _sizes.clear()
             _sizes[key] = Sizes(model.good, model.bad)
         sizes = _sizes[key]
-        return pa.array([model.score(sizes.difference(t.as_py())) for t in texts], pa.float64())
+        return pa.array([model.score(sizes.features(t.as_py())) for t in texts], pa.float64())
 
     return score(text)
 

@@ -8,15 +8,29 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import compression, token_counts
+from tickerloom.llm import compression, quality_rules, secret_scan, token_counts, toxicity
 from tickerloom.llm.common import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity.toxicity_scores(docs, model)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path)
 
 
+def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = compression.fit_compression(docs, table(spark, sf_dir, "labels"))
@@ -26,9 +40,71 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_quality_rules,
+        op3_toxicity,
         op6_token_counts,
+        op8_secret_spans,
         op10_compression_quality,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_STOP_WORDS = ", ".join(f"'{word}'" for word in quality_rules.STOP_WORDS)
+_SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": rf"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                               lambda x: trim(x, {_SPACES}) <> '') AS lines
+            FROM documents
+        ),
+        word AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM d),
+        win AS (
+            SELECT doc_id, i, lead(w, 7) OVER o AS last,
+                   concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o,
+                             lead(w, 5) OVER o, lead(w, 6) OVER o, lead(w, 7) OVER o) AS k
+            FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+        ),
+        rep AS (
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM win WHERE last IS NOT NULL
+        ),
+        covered AS (
+            SELECT doc_id, count(DISTINCT i + j) AS n FROM rep, range(0, 8) AS t(j) WHERE c > 1 GROUP BY doc_id
+        ),
+        m AS (
+            SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+                   CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+                   CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                   CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+                   CAST(len(lines) AS BIGINT) AS n_lines,
+                   len(list_filter(words, lambda x: lower(x) IN ({_STOP_WORDS}))) AS stops,
+                   len(list_filter(lines, lambda x: regexp_matches(trim(x, {_SPACES}), '^[-*•‣◦·]'))) AS bullets,
+                   len(list_filter(lines, lambda x: regexp_matches(trim(x, {_SPACES}), '(\.\.\.|…)$'))) AS dots
+            FROM d LEFT JOIN covered USING (doc_id)
+        ),
+        r AS (
+            SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+                   n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+                   CASE WHEN n_words > 0 THEN CAST(word_chars AS DOUBLE) / n_words ELSE CAST(0 AS DOUBLE) END
+                       AS mean_word_chars,
+                   CASE WHEN n_words > 0 THEN CAST(n_symbols AS DOUBLE) / n_words ELSE CAST(0 AS DOUBLE) END
+                       AS symbols_per_word,
+                   CASE WHEN n_words > 0 THEN CAST(stops AS DOUBLE) / n_words ELSE CAST(0 AS DOUBLE) END
+                       AS stop_word_share,
+                   CASE WHEN n_lines > 0 THEN CAST(n_dup_lines AS DOUBLE) / n_lines ELSE CAST(0 AS DOUBLE) END
+                       AS dup_line_share,
+                   CASE WHEN n_lines > 0 THEN CAST(bullets AS DOUBLE) / n_lines ELSE CAST(0 AS DOUBLE) END
+                       AS bullet_line_share,
+                   CASE WHEN n_lines > 0 THEN CAST(dots AS DOUBLE) / n_lines ELSE CAST(0 AS DOUBLE) END
+                       AS ellipsis_line_share
+            FROM m
+        )
+        SELECT *, NOT base_failed AND mean_word_chars >= 1.5 AND mean_word_chars <= 20 AND symbols_per_word <= 0.3
+                  AND stop_word_share >= 0.02 AND dup_line_share <= 0.5 AND bullet_line_share <= 0.9
+                  AND ellipsis_line_share <= 0.3 AS kept
+        FROM r
+    """,
+}
