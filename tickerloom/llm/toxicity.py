@@ -5,7 +5,8 @@ and digits and signs that stand for letters inside a word become these letters.
 One Aho-Corasick automaton then finds the words of the lexicon and the
 exception phrases in a single pass; a word inside an exception phrase does not
 count.  The summed weights, plain and relative to the length, go through a
-logistic curve.  Lexicon, weights and curve are learned from labelled texts.
+logistic curve.  An entry is a word or a stem, which matches the beginning of a longer
+word.  Lexicon, weights and curve are learned from labelled texts.
 """
 
 from __future__ import annotations
@@ -65,23 +66,30 @@ class Matcher:
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
-        for phrase in exceptions:
-            self.automaton.add_word(fold(phrase), (len(fold(phrase)), None))
+        entries: dict[str, dict[bool, float | None]] = {}
         for word, weight in lexicon.items():
-            self.automaton.add_word(word, (len(word), weight))
+            entries.setdefault(word.removesuffix("*"), {})[word.endswith("*")] = weight
+        for phrase in exceptions:
+            entries.setdefault(fold(phrase), {})[False] = None
+        for word, kinds in entries.items():
+            self.automaton.add_word(word, (len(word), tuple(kinds.items())))
         self.automaton.make_automaton()
 
     def total(self, folded: str) -> float:
-        """Sum of the weights of whole words found outside exception phrases."""
+        """Sum of the weights of words and stems found outside exception phrases."""
         hits, spared = [], []
-        for last, (length, weight) in self.automaton.iter(folded):
+        for last, (length, kinds) in self.automaton.iter(folded):
             start, end = last + 1 - length, last + 1
-            if folded[start - 1 : start].isalnum() or folded[end : end + 1].isalnum():
+            if start and folded[start - 1].isalnum():
                 continue
-            if weight is None:
-                spared.append((start, end))
-            else:
-                hits.append((start, end, weight))
+            inside = folded[end : end + 1].isalnum()
+            for stem, weight in kinds:
+                if stem != inside:  # a stem goes on, a word ends
+                    continue
+                if weight is None:
+                    spared.append((start, end))
+                else:
+                    hits.append((start, end, weight))
         if spared:
             spared.sort()
             kept, at, reach = [], 0, -1
@@ -104,7 +112,7 @@ class Matcher:
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """A lexicon of at most ``max_words`` words, the exception phrases and three numbers."""
+    """A lexicon of at most ``max_words`` words and stems (ending in ``*``), the exception phrases and three numbers."""
 
     lexicon: dict[str, float]
     exceptions: tuple[str, ...]
@@ -115,8 +123,15 @@ class ToxicityModel:
         return sigmoid(sum(w * x for w, x in zip(self.weights, features, strict=True)) + self.intercept)
 
 
+def _entries(text: str) -> set[str]:
+    """The words of a folded text and their beginnings of 4 to 8 letters, marked by a star."""
+    found = set(_TOKEN.findall(text))
+    stems = {f"{word[:n]}*" for word in found for n in range(4, min(9, len(word)))}
+    return found | stems
+
+
 def _learn_lexicon(toxic: list[set[str]], clean: list[set[str]], max_words: int, min_share: float) -> dict[str, float]:
-    """Words far more frequent in toxic texts, picked greedily by the toxic texts not yet explained.
+    """Words and stems far more frequent in toxic texts, picked greedily by the toxic texts not yet explained.
 
     The weight is the log odds of a text with the word; a word must be in
     ``min_share`` of the toxic texts and add as much to those explained.
@@ -168,7 +183,7 @@ def fit_toxicity(
     none = ToxicityModel({}, (), (0.0, 0.0), math.log(odds / (1 - odds)))
     if not (side[0] and side[1]):
         return none
-    toxic, clean = ([set(_TOKEN.findall(fold(text))) for text in side[mark]] for mark in (1, 0))
+    toxic, clean = ([_entries(fold(text)) for text in side[mark]] for mark in (1, 0))
     lexicon = _learn_lexicon(toxic, clean, max_words, min_share)
     if not lexicon:
         return none
