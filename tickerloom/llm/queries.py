@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import compression, quality_rules, secret_scan, token_counts, toxicity
+from tickerloom.llm import compression, line_dedup, quality_rules, secret_scan, token_counts, toxicity
 from tickerloom.llm.common import table
 
 
@@ -22,6 +22,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(docs, model)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, removed="lines_removed")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path)
@@ -42,6 +47,7 @@ QUERIES = {
     for query in (
         op1_quality_rules,
         op3_toxicity,
+        op4_line_dedup,
         op6_token_counts,
         op8_secret_spans,
         op10_compression_quality,
@@ -52,6 +58,47 @@ _STOP_WORDS = ", ".join(f"'{word}'" for word in quality_rules.STOP_WORDS)
 _SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": rf"""
+        WITH split AS (
+            SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL
+        ),
+        line AS (
+            SELECT doc_id, unnest(parts) AS raw, generate_subscripts(parts, 1) - 1 AS p FROM split
+        ),
+        worded AS (
+            SELECT doc_id, p, trim(raw, {_SPACES}) AS line,
+                   len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS w,
+                   row_number() OVER (PARTITION BY doc_id ORDER BY p) AS i,
+                   sum(len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+'))) OVER (PARTITION BY doc_id ORDER BY p) AS c
+            FROM line WHERE trim(raw, {_SPACES}) <> ''
+        ),
+        span AS (
+            SELECT a.doc_id, a.i AS first, b.i AS last, a.p AS pa, b.p AS pb
+            FROM worded a JOIN worded b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.i < a.i + 50
+            WHERE b.c - a.c + a.w >= 50
+              AND (b.c - b.w - a.c + a.w < 50 OR b.c - a.c < 50)
+        ),
+        run AS (
+            SELECT s.doc_id, pa, pb, string_agg(line, chr(10) ORDER BY i) AS run
+            FROM span s JOIN worded w ON w.doc_id = s.doc_id AND w.i BETWEEN s.first AND s.last
+            GROUP BY s.doc_id, pa, pb
+        ),
+        later AS (
+            SELECT doc_id, pa, pb, row_number() OVER (PARTITION BY run ORDER BY doc_id, pa) AS n FROM run
+        ),
+        gone AS (
+            SELECT DISTINCT line.doc_id, line.p FROM line JOIN later
+              ON line.doc_id = later.doc_id AND line.p BETWEEN pa AND pb WHERE n > 1
+        ),
+        kept AS (
+            SELECT line.doc_id, string_agg(CASE WHEN gone.p IS NULL THEN raw END, chr(10) ORDER BY line.p) AS text,
+                   count(gone.p) AS n
+            FROM line LEFT JOIN gone ON line.doc_id = gone.doc_id AND line.p = gone.p GROUP BY line.doc_id
+        )
+        SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text,
+               CAST(coalesce(n, 0) AS BIGINT) AS lines_removed
+        FROM documents d LEFT JOIN kept USING (doc_id)
+    """,
     "op1_quality_rules": rf"""
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS text,
