@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import compression, line_dedup, quality_rules, secret_scan, token_counts, toxicity
+from tickerloom.llm import compression, line_dedup, mixture, quality_rules, secret_scan, token_counts, toxicity
 from tickerloom.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op9_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix(table(spark, sf_dir, "documents"))
+
+
 def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = compression.fit_compression(docs, table(spark, sf_dir, "labels"))
@@ -50,6 +54,7 @@ QUERIES = {
         op4_line_dedup,
         op6_token_counts,
         op8_secret_spans,
+        op9_source_mixture,
         op10_compression_quality,
     )
 }
@@ -58,6 +63,63 @@ _STOP_WORDS = ", ".join(f"'{word}'" for word in quality_rules.STOP_WORDS)
 _SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE_SQL: dict[str, str] = {
+    "op9_source_mixture": r"""
+        WITH RECURSIVE sized AS (
+            SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                   length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS symbols,
+                   CAST('0x' || substr(md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')),
+                                       1, 13) AS BIGINT) AS bits
+            FROM documents
+        ),
+        keyed AS (
+            SELECT doc_id, source, size,
+                   -ln((bits + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE))
+                   / (CAST(1 AS DOUBLE) / (CAST(1 AS DOUBLE)
+                      + CAST(4 AS DOUBLE) * coalesce(symbols, 0) / greatest(size, 1))) AS key
+            FROM sized
+        ),
+        sources AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(3 * sum(size) AS BIGINT) AS cap,
+                   1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+            FROM keyed GROUP BY source
+        ),
+        capped(round, source, source_size, cap, weight, full_) AS (
+            SELECT 0, *, false FROM sources
+            UNION ALL
+            SELECT round + 1, source, source_size, cap, weight,
+                   full_ OR cap * sum(CASE WHEN full_ THEN 0 ELSE weight END) OVER ()
+                            <= weight * (sum(source_size) OVER () - sum(CASE WHEN full_ THEN cap ELSE 0 END) OVER ())
+            FROM capped WHERE round < 40
+        ),
+        targets AS (
+            SELECT source, source_size,
+                   CASE WHEN full_ THEN CAST(cap AS DOUBLE)
+                        ELSE CAST(CAST(sum(source_size) OVER () - sum(CASE WHEN full_ THEN cap ELSE 0 END) OVER () AS BIGINT)
+                                  AS DOUBLE)
+                             * weight / CAST(sum(CASE WHEN full_ THEN 0 ELSE weight END) OVER () AS DOUBLE) END AS target
+            FROM capped WHERE round = 40
+        ),
+        plan AS (
+            SELECT *, CASE WHEN source_size > 0 THEN least(CAST(floor(target / source_size) AS BIGINT), 3) ELSE 0 END
+                      AS epochs
+            FROM targets
+        ),
+        reached AS (
+            SELECT k.doc_id, k.size, p.source_size, p.target, p.epochs,
+                   greatest(p.target - p.epochs * p.source_size, 0) AS rest,
+                   sum(k.size) OVER (PARTITION BY k.source ORDER BY key) AS reach,
+                   sum(k.size) OVER (PARTITION BY k.source, key) AS words
+            FROM keyed k JOIN plan p ON k.source IS NOT DISTINCT FROM p.source
+        ),
+        copied AS (
+            SELECT *, epochs + CASE WHEN reach <= rest
+                                      OR (reach - words <= rest AND rest - (reach - words) >= words / 2) THEN 1 ELSE 0 END
+                      AS copies
+            FROM reached
+        )
+        SELECT doc_id, size, source_size, target, CAST(copies AS BIGINT) AS copies, CAST(copies * size AS BIGINT) AS taken
+        FROM copied
+    """,
     "op4_line_dedup": rf"""
         WITH split AS (
             SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL
