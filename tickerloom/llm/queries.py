@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import compression, line_dedup, mixture, quality_rules, secret_scan, token_counts, toxicity
+from tickerloom.llm import compression, line_dedup, mixture, packing, quality_rules, secret_scan, token_counts, toxicity
 from tickerloom.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -50,6 +55,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_quality_rules,
+        op2_best_fit_packing,
         op3_toxicity,
         op4_line_dedup,
         op6_token_counts,
