@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import compression, line_dedup, mixture, packing, quality_rules, secret_scan, token_counts, toxicity
+from tickerloom.llm import compression, jaccard_join, line_dedup, mixture, packing, quality_rules, secret_scan, token_counts, toxicity
 from tickerloom.llm.common import table
 
 
@@ -37,6 +37,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return jaccard_join.jaccard_components(docs, words=3, percent=90).drop("key")
+
+
 def op8_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -59,6 +64,7 @@ QUERIES = {
         op3_toxicity,
         op4_line_dedup,
         op6_token_counts,
+        op7_jaccard_join,
         op8_secret_spans,
         op9_source_mixture,
         op10_compression_quality,
@@ -69,6 +75,37 @@ _STOP_WORDS = ", ".join(f"'{word}'" for word in quality_rules.STOP_WORDS)
 _SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+                ELSE list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])
+                END) AS g
+            FROM w
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+            FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ),
+        link AS (
+            SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * shared >= 90 * (x.n + y.n - shared)
+        ),
+        both_ AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+        reach(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION
+            SELECT reach.doc_id, both_.b FROM reach JOIN both_ ON reach.other = both_.a
+        )
+        SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.low AS component_id
+        FROM documents d LEFT JOIN n USING (doc_id)
+        JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) r USING (doc_id)
+    """,
     "op9_source_mixture": r"""
         WITH RECURSIVE sized AS (
             SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
