@@ -1,13 +1,67 @@
-"""From raw documents to packed token sequences; every stage is one operator of ``tickerloom.llm``."""
+"""From raw documents to packed token sequences; every stage is one operator of ``tickerloom.llm``.
+
+A stage takes the documents that its predecessor kept, with all their columns,
+and its result is written as Parquet and read again before the next one.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tickerloom.llm import jaccard_join, line_dedup, mixture, packing, toxicity
+from tickerloom.llm.common import fresh, saved, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.7 or more go. The model is learned from the labelled rows of the input."""
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity.without_toxic(docs, model)
+
+
+def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Runs of lines that occurred before are cut; a document that loses its last word goes; ``n_chars`` is renewed."""
+    lost = fresh(docs.columns, "_lost")
+    cut = line_dedup.dedup_lines(docs, removed=lost)
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = cut.filter((F.col(lost) == 0) | worded)
+    if "n_chars" in docs.columns:
+        chars = F.when(F.col(lost) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        kept = kept.withColumn("n_chars", chars)
+    return kept.drop(lost)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a Jaccard similarity of 0.8 on five-word shingles the one with the least id stays."""
+    return jaccard_join.one_per_component(docs, words=5, percent=80)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixture.mixed_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their ids and their place in sequences of 2048 tokens."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", cut_repeated_lines),
+    ("jaccard_join", drop_near_copies),
+    ("mixture", mix_sources),
+    ("packing", pack),
+]
 
-STAGES = []
+#: The toxicity model and the tokenizer are beyond SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to ``documents``, each result written and read again."""
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = saved(stage(spark, docs, sf_dir), name)
+    return docs

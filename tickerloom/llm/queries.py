@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import compression, jaccard_join, line_dedup, mixture, packing, quality_rules, secret_scan, token_counts, toxicity
+from tickerloom.llm import compression, jaccard_join, line_dedup, mixture, multi_index, packing, quality_rules, secret_scan, token_counts, toxicity
 from tickerloom.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs, removed="lines_removed")
 
 
+def op5_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path)
@@ -63,6 +67,7 @@ QUERIES = {
         op2_best_fit_packing,
         op3_toxicity,
         op4_line_dedup,
+        op5_multi_index,
         op6_token_counts,
         op7_jaccard_join,
         op8_secret_spans,
