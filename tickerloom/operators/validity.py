@@ -1,29 +1,31 @@
 """Inner join of quotes with validity windows: same asset, ``start <= date <= end``.
 
-Comparing a quote with every window of its asset does not scale when an asset
-has many windows, and shuffling by asset alone does not scale when one asset
-has a third of the quotes.  So time takes part in the join key:
-
-* Each window gets the smallest span 8^k that is at least its length, and is
-  filed under the one or two slots of that span which it touches.  Windows at
-  most double in number, however long they are.
-* A quote looks up its slot once per span in use, usually one, at most nine.
-* The join is then an equi-join on (asset, span, slot) with the exact range test
-  as its residual.  A window sits once in the slot of any given day, so no pair
-  is met twice.
-
-The windows are measured first.  Below a byte limit they are broadcast and the
-quotes are not shuffled; beyond it both sides are shuffled on the key, with
-keys that hold more rows than a task should take spread over several tasks.
-Which keys those are only decides where rows go, never which rows come out, so
-they are found in a sample large enough to show them.
+The windows are measured first, by one aggregate: how many bytes, from which day
+to which, and how many windows an asset has at most.  Quotes outside that range
+of days are filtered before anything is shuffled.
+
+* Assets with few windows are joined on the asset, with the range as residual.
+* With many windows an asset, that compares too many pairs, so time takes part
+  in the key.  A window gets the smallest span 8^k that holds it and is filed
+  under the one or two slots of that span which it touches; a quote looks up one
+  slot for each span that windows of its asset have.  A window sits once in the
+  slot of any day, so no pair is met twice.  A slot is up to eight times as long
+  as its windows, and so may be the pairs looked at against those that match.
+
+Below a byte limit the windows are broadcast and the quotes are not shuffled.
+Beyond it both sides are shuffled on the key, after a semi-join of the quotes
+with the assets where these can be broadcast.  A key with more rows than a task
+should take is laid out over a grid of quote parts and window parts in which
+every pair meets once.  Which keys those are only decides where rows go, so they
+are found in a sample large enough to show them; they are kept as a table, any
+number of them, split into any number of parts.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 from functools import reduce
-from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,18 +34,18 @@ from pyspark.sql import types as T
 from tickerloom.functions.dates import day_or_error, day_or_null, with_quote_day
 from tickerloom.functions.text import quoted
 from tickerloom.operators.equities import require_columns
+from tickerloom.scratch import saved
 
 # Windows up to this size, counted generously on their filed copies, are broadcast.
 BROADCAST_BYTES = 128 * 1024 * 1024
 # A shuffle key with more rows than this is split over several tasks.
 ROWS_PER_TASK = 4_000_000
-# So many of the heaviest keys are split; a lighter key holds less than a
-# 1/10000 share of the rows and goes through the plain shuffle.
-MAX_HEAVY_KEYS = 10_000
-# No key is split further than this; its parts then hold more rows instead.
-MAX_PARTS = 10_000
 # A key worth splitting has about this many rows in the sample that looks for them.
 SAMPLED_PER_HEAVY_KEY = 1_000
+# Up to so many windows of one asset are compared with each of its quotes.
+FEW_WINDOWS = 64
+# Bytes that a row of assets or of heavy keys takes in a broadcast, generously.
+KEY_ROW_BYTES = 200
 
 SPAN_BITS = 3  # spans grow by 2^3, from one day to 8^8 days, past the year 9999
 SPAN_STEPS = 9
@@ -53,15 +55,22 @@ FIXED_SIZE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.
 
 @dataclass(frozen=True)
 class WindowSize:
-    """Rows and broadcast bytes of the windows, and the spans they need."""
+    """Rows, assets and broadcast bytes of the windows, most windows of one asset, and first and last day."""
 
     rows: int
     filed_bytes: int
-    spans: tuple[int, ...]
+    assets: int
+    most: int
+    first: date | None
+    last: date | None
 
     def fits(self, broadcast_bytes: int) -> bool:
         return self.filed_bytes <= broadcast_bytes
 
+    @property
+    def few(self) -> bool:
+        return self.most <= FEW_WINDOWS
+
 
 def _as_windows(members: DataFrame) -> DataFrame:
     require_columns(members, "asset", "start", "end")
@@ -80,21 +89,32 @@ def _span_step() -> Column:
 
 
 def measure_windows(members: DataFrame) -> WindowSize:
-    """One aggregate over the windows; its result has a fixed size."""
+    """Counts per asset, then one row; its size is fixed."""
     windows = _as_windows(members)
     row_bytes = F.lit(16 * (len(windows.columns) + 3))
     for field in windows.schema.fields:
         if field.name == "asset" or not isinstance(field.dataType, FIXED_SIZE):
             text = F.col(quoted(field.name)).cast("string")
             row_bytes = row_bytes + F.coalesce(F.octet_length(text), F.lit(0))
-    row = windows.withColumn("_step", _span_step()).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(2 * row_bytes), F.lit(0)).alias("filed_bytes"),
-        F.bit_or(F.expr("shiftleft(1, _step)")).alias("steps"),
-    ).first()
-    steps = row["steps"] or 0
-    spans = tuple(2 ** (SPAN_BITS * step) for step in range(SPAN_STEPS) if steps >> step & 1)
-    return WindowSize(row["rows"], row["filed_bytes"], spans)
+    row = (
+        windows.groupBy("asset")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(2 * row_bytes).alias("bytes"),
+            F.min("start").alias("first"),
+            F.max("end").alias("last"),
+        )
+        .agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+            F.count("asset").alias("assets"),
+            F.coalesce(F.max(F.when(F.col("asset").isNotNull(), F.col("rows"))), F.lit(0)).alias("most"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+        )
+        .first()
+    )
+    return WindowSize(row["rows"], row["bytes"], row["assets"], row["most"], row["first"], row["last"])
 
 
 def _slot(day: Column, span: Column) -> Column:
@@ -110,73 +130,71 @@ def _filed_windows(members: DataFrame) -> DataFrame:
     )
 
 
-def _keyed_quotes(quotes: DataFrame, spans: tuple[int, ...]) -> DataFrame:
-    sizes = [F.lit(size) for size in spans or (1,)]
-    span = sizes[0] if len(sizes) == 1 else F.explode(F.array(*sizes))
-    return quotes.withColumn("_span", span).withColumn(
-        "_slot", _slot(F.col("date"), F.col("_span"))
-    )
+def _asset_spans(windows: DataFrame) -> DataFrame:
+    """Per asset the spans its windows need."""
+    span = F.pow(F.lit(2), SPAN_BITS * _span_step()).cast("int")
+    known = windows.where(F.col("asset").isNotNull()).withColumn("_span", span).where("_span IS NOT NULL")
+    return known.groupBy("asset").agg(F.collect_set("_span").alias("_spans"))  # nine at most
+
+
+def _keyed_quotes(quotes: DataFrame, spans: DataFrame, fits: bool) -> DataFrame:
+    """Quotes of assets that have windows, once per span of their asset, with their slots."""
+    side = F.broadcast(spans) if fits else spans
+    known = quotes.join(side, "asset").withColumn("_span", F.explode("_spans")).drop("_spans")
+    return known.withColumn("_slot", _slot(F.col("date"), F.col("_span")))
 
 
-def _heavy_keys(side: DataFrame, rows_per_task: int) -> dict[tuple, int]:
-    """Number of tasks for each key that is too big for one, the heaviest first."""
-    keys = side.where(F.col("asset").isNotNull()).select(*KEY)
+def _heavy_keys(side: DataFrame, key: tuple[str, ...], rows_per_task: int, name: str) -> DataFrame:
+    """Keys too big for one task and the number of tasks for each, as column ``name``."""
+    keys = side.where(F.col("asset").isNotNull()).select(*key)
     fraction = min(1.0, SAMPLED_PER_HEAVY_KEY / rows_per_task)
     if fraction < 1:
         keys = keys.sample(fraction=fraction, seed=1)
     share = rows_per_task * fraction
-    rows = (
-        keys.groupBy(*KEY)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") > share)
-        .orderBy(F.desc("rows"))
-        .limit(MAX_HEAVY_KEYS)
-        .collect()
-    )
-    return {
-        tuple(row[name] for name in KEY): min(MAX_PARTS, ceil(row["rows"] / share)) for row in rows
-    }
+    counts = keys.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > share)
+    return counts.select(*key, F.ceil(F.col("rows") / share).cast("int").alias(name))
 
 
-def _spread(side: DataFrame, heavy: DataFrame, own: str, other: str) -> DataFrame:
+def _spread(side: DataFrame, heavy: DataFrame, key: tuple[str, ...], own: str, other: str) -> DataFrame:
     """Give each row one part of its own side and copies for the parts of the other.
 
-    The part depends on the row's partition, which a recomputed task finds
-    again, and on its day or window; copies of one row in different input
-    splits go to different parts.
+    The part is a hash of the row's number within its input: rows that are equal
+    in everything go to different parts, and a recomputed task, which reads its
+    split in the same order, repeats it.
     """
-    at = F.col("date") if "date" in side.columns else F.col("start")
-    part = F.pmod(F.xxhash64(F.spark_partition_id(), at), F.col(f"_{own}_parts"))
+    part = F.pmod(F.xxhash64("_row"), F.col(f"_{own}_parts")).cast("int")
     copies = F.sequence(F.lit(0), F.col(f"_{other}_parts") - 1)
     return (
-        side.withColumn(f"_{own}", F.spark_partition_id())
-        .join(F.broadcast(heavy), on=list(KEY), how="left")
+        side.withColumn("_row", F.monotonically_increasing_id())
+        .join(heavy, on=list(key), how="left")
         .fillna(1, subset=["_quote_parts", "_window_parts"])
-        .withColumn(f"_{own}", part.cast("int"))
+        .withColumn(f"_{own}", part)
         .withColumn(f"_{other}", F.explode(copies))
-        .drop("_quote_parts", "_window_parts")
+        .drop("_quote_parts", "_window_parts", "_row")
     )
 
 
 def _spread_heavy_keys(
-    quotes: DataFrame, windows: DataFrame, rows_per_task: int
+    quotes: DataFrame, windows: DataFrame, key: tuple[str, ...], rows_per_task: int
 ) -> tuple[DataFrame, DataFrame, tuple[str, ...]]:
-    """Split heavy keys over a grid of quote parts x window parts, exactly once per pair."""
-    quote_parts = _heavy_keys(quotes, rows_per_task)
-    window_parts = _heavy_keys(windows, rows_per_task)
-    if not quote_parts and not window_parts:
-        return quotes, windows, KEY
-    rows = [
-        (*key, quote_parts.get(key, 1), window_parts.get(key, 1))
-        for key in {**quote_parts, **window_parts}
-    ]
-    heavy = quotes.sparkSession.createDataFrame(
-        rows, "asset string, _span int, _slot int, _quote_parts int, _window_parts int"
-    )
+    """Split heavy keys over a grid of quote parts x window parts, exactly once per pair.
+
+    There are at most rows / ``rows_per_task`` heavy keys a side.  They are
+    broadcast if their count allows, else joined by shuffling.
+    """
+    left = _heavy_keys(quotes, key, rows_per_task, "_quote_parts")
+    right = _heavy_keys(windows, key, rows_per_task, "_window_parts")
+    heavy = left.join(right, list(key), "full").fillna(1, subset=["_quote_parts", "_window_parts"])
+    heavy = saved(heavy, "heavy_keys")  # both sides must see the same parts
+    count = heavy.count()
+    if not count:
+        return quotes, windows, key
+    if count * KEY_ROW_BYTES <= BROADCAST_BYTES:
+        heavy = F.broadcast(heavy)
     return (
-        _spread(quotes, heavy, "quote", "window"),
-        _spread(windows, heavy, "window", "quote"),
-        (*KEY, "_quote", "_window"),
+        _spread(quotes, heavy, key, "quote", "window"),
+        _spread(windows, heavy, key, "window", "quote"),
+        (*key, "_quote", "_window"),
     )
 
 
@@ -198,13 +216,23 @@ def validity_join(
     windows = _as_windows(members)
     size = size or measure_windows(members)
 
-    left = _keyed_quotes(dated, size.spans)
-    right = _filed_windows(windows)
-    key: tuple[str, ...] = KEY
-    if size.fits(broadcast_bytes):
+    if size.first is not None and size.last is not None:
+        # Literals, so that a scan with a date column skips what lies outside.
+        first, last = (F.lit(day.isoformat()).cast("date") for day in (size.first, size.last))
+        dated = dated.where(F.col("date").between(first, last))
+    fits = size.fits(broadcast_bytes)
+    assets_fit = size.assets * KEY_ROW_BYTES <= BROADCAST_BYTES
+    if size.few:
+        left, right, key = dated, windows.where(F.col("asset").isNotNull()), ("asset",)
+        if not fits and assets_fit:
+            left = left.join(F.broadcast(right.select("asset").distinct()), "asset", "left_semi")
+    else:
+        left = _keyed_quotes(dated, _asset_spans(windows), assets_fit)
+        right, key = _filed_windows(windows), KEY
+    if fits:
         right = F.broadcast(right)
     else:
-        left, right, key = _spread_heavy_keys(left, right, rows_per_task)
+        left, right, key = _spread_heavy_keys(left, right, key, rows_per_task)
         right = right.hint("merge")
 
     left, right = left.alias("q"), right.alias("m")

@@ -2,31 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
-
-_local_roots: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the session names in ``spark.checkpoint.dir``.
-
-    Only a session in local mode that names none gets a temporary folder; on a
-    cluster such a folder would exist on one machine only.
-    """
+    """The folder shared by all machines that the session names in ``spark.checkpoint.dir``."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tickerloom-")
-    return _local_roots[context.applicationId]
+    if not shared:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors can reach")
+    return shared.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one table; never shared between two runs."""
     return f"{scratch_root(spark)}/tickerloom/{uuid.uuid4().hex}/{name}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` from a table in the scratch folder: computed once, and safe from lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
