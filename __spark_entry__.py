@@ -72,13 +72,42 @@ def membership_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "asset",
         "start",
         "end",
-        F.col("Peso").cast("bigint").alias("peso"),
+        F.col("`Peso, kg`").cast("bigint").alias("peso"),
         F.col("Tipo").alias("tipo"),
         F.col("`Qtde Teorica`").cast("bigint").alias("qtde"),
         F.col("`Part %`").cast("double").alias("part"),
     )
 
 
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of a folder that also holds folders, one of them laid out like a partition."""
+    path = scratch_path(spark, "listing")
+    parts = tables.table(spark, sf_dir, "part").select("p_name").coalesce(1)
+    parts.write.text(path)
+    parts.write.text(f"{path}/year=1")
+    parts.write.text(f"{path}/plain")
+    listed = tl.list_files(spark, path, "*.txt")
+    return listed.select(F.regexp_extract("name", r"^(part)-.*\.(txt)$", 2).alias("kind"), "length")
+
+
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = tl.malformed_lines(spark, tables.write_defective_files(spark, sf_dir))
+    return bad.select(F.regexp_extract("file", r"(\d{4})\.TXT$", 1).alias("file"), "defect", F.trim("line").alias("line"))
+
+
+def fixed_width_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tl.scan_quotes(spark, tables.write_defective_files(spark, sf_dir), mode="DROPMALFORMED")
+
+
+def layout_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scan with two more fields of the user's: slices that other fields have as well."""
+    layout = tl.QUOTE_LAYOUT.with_fields(
+        tl.Field("year", 3, 4, "whole"), tl.Field("ticker", 13, 4), tl.Field("cents", 109, 13, "whole")
+    )
+    quotes = tl.scan_quotes(spark, tables.write_quote_files(spark, sf_dir), layout)
+    return quotes.select("year", "ticker", "cents", "asset", "close")
+
+
 # --- filters and joins ---------------------------------------------------------------
 
 
@@ -110,6 +139,16 @@ def validity_join_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def validity_join_hot_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shuffled join with a third of the quotes on one asset and one day."""
+    return tl.validity_join(
+        tables.hot_day_quotes(spark, sf_dir),
+        tables.members(spark, sf_dir),
+        broadcast_bytes=0,
+        rows_per_task=500,
+    )
+
+
 # --- composite jobs ------------------------------------------------------------------
 
 
@@ -132,6 +171,16 @@ def consolidated_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def consolidated_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unreadable volumes are missing."""
+    return tl.consolidate(tables.dirty_quotes(spark, sf_dir), tables.members(spark, sf_dir))
+
+
+def consolidated_half_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share volumes with a half go to the even number."""
+    return tl.consolidate(tables.dirty_quotes(spark, sf_dir), tables.members(spark, sf_dir), "volume_shares")
+
+
 # --- sinks ---------------------------------------------------------------------------
 
 
@@ -152,6 +201,15 @@ def parquet_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _year_table(spark, sf_dir)
 
 
+def year_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two of the years; the folders of the others are not read."""
+    rows = tl.consolidate(
+        tables.raw_quotes(spark, sf_dir), tables.members(spark, sf_dir), ordered=False
+    )
+    path = tl.write_parquet_by_year(rows, scratch_path(spark, "consolidated_by_year"))
+    return tl.read_year_table(spark, path, [1995, 1998])
+
+
 def year_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A year-by-year summary in SQL over the published view."""
     view = tl.publish_view(_year_table(spark, sf_dir), "consolidated")
@@ -193,6 +251,36 @@ def quality_checks_failing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.quality_checks(customers)
 
 
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts of the report of a failing CSV as rows ``part, name, value``."""
+    report = tl.validate(spark, tables.report_csv(spark, sf_dir))
+    summary = report.summary.select(
+        F.lit("summary").alias("part"),
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(name).alias("name"), F.col(name).cast("string").alias("value"))
+                    for name in report.summary.columns
+                ]
+            )
+        ),
+    )
+
+    def listed(part: str, rows: DataFrame, name: str, value: str) -> DataFrame:
+        return rows.select(F.lit(part).alias("part"), F.col(name).alias("name"), F.col(value).cast("string").alias("value"))
+
+    parts = [
+        listed("check", report.checks, "check", "ok"),
+        listed("zero", report.zero_activity, "asset", "count"),
+        listed("close", report.close_histogram, "label", "count"),
+        listed("volume", report.volume_magnitude, "label", "count"),
+        listed("top", report.top_assets, "asset", "count"),
+    ]
+    for rows in parts:
+        summary = summary.unionByName(rows)
+    return summary
+
+
 def prices_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = tables.table(spark, sf_dir, "supplier")
     return tl.prices_positive(suppliers.withColumnRenamed("s_acctbal", "close"))
@@ -229,6 +317,16 @@ def close_histogram_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.close_histogram(orders.withColumnRenamed("o_totalprice", "close"), bins=100)
 
 
+def close_histogram_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices as text with missing, unreadable and ``NaN`` ones among them."""
+    price = (
+        F.when(F.col("l_linenumber") == 1, "NaN")
+        .when(F.col("l_linenumber") == 2, "n/a")
+        .when(F.col("l_linenumber") != 3, F.col("l_extendedprice").cast("string"))
+    )
+    return tl.close_histogram(tables.table(spark, sf_dir, "lineitem").select(price.alias("close")), bins=7)
+
+
 def volume_magnitude(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.volume_magnitude(tables.tidy_quotes(spark, sf_dir))
 
@@ -251,19 +349,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         fixed_width_scan,
         fixed_width_parse,
         file_inventory,
+        file_listing,
+        malformed_lines,
+        fixed_width_lenient,
+        layout_fields,
         membership_scan,
         equity_filter,
         asset_class_split,
         validity_join,
         validity_join_shuffled,
+        validity_join_hot_day,
         consolidated_brl,
         consolidated_shares,
+        consolidated_dirty,
+        consolidated_half_shares,
         consolidated_from_files,
         csv_round_trip,
         parquet_by_year,
+        year_slice,
         year_totals,
         ticker_history,
         summary,
+        quality_report,
         quality_checks,
         quality_checks_failing,
         prices_positive,
@@ -272,6 +379,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         zero_activity_totneg,
         close_histogram,
         close_histogram_fine,
+        close_histogram_gaps,
         volume_magnitude,
         volume_magnitude_signed,
         top_assets,
@@ -316,7 +424,6 @@ _MEMBERS_OF = """
     )"""
 
 _MEMBERS = _MEMBERS_OF.format(first=1995, past=2002)
-_MEMBERS_IN_FILES = _MEMBERS_OF.format(first=1996, past=1998)
 
 _CONSOLIDATED = f"""
     WITH {_EQUITIES}, {{members}}
@@ -368,6 +475,26 @@ _MAGNITUDE = """
 """
 
 
+# Lines with the last digit of the money volume, which tells what is wrong with them, and their text up to there.
+_DEFECTIVE = """
+    SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(l_quantity AS BIGINT) % 10 AS digit,
+           rpad('01' || strftime(l_shipdate, '%Y%m%d') || CASE WHEN l_returnflag = 'N' THEN '96' ELSE '02' END
+                || CASE WHEN l_linestatus = 'F' THEN 'p' ELSE 'P' END || l_partkey, 39, ' ')
+               || CASE WHEN l_linenumber = 3 THEN 'BDR' ELSE 'PNÃ  N1' END AS head
+    FROM lineitem
+"""
+
+_REPORT_CSV = """
+    csv AS (
+        SELECT CASE WHEN l_linenumber <> 6 THEN CAST(l_shipdate AS DATE) END AS date,
+               CASE WHEN l_linenumber <> 7 THEN 'P' || l_partkey END AS asset,
+               CASE WHEN l_linenumber NOT IN (4, 5) THEN l_extendedprice END AS close,
+               CASE WHEN l_linenumber = 3 THEN CAST(0 AS BIGINT)
+                    WHEN l_linenumber NOT IN (1, 2) THEN CAST(l_quantity AS BIGINT) END AS volume
+        FROM lineitem
+    )"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The expected rows of each query in SQL."""
     brl = _CONSOLIDATED.format(members=_MEMBERS, volume="q.volume_brl", extra="")
@@ -391,7 +518,7 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem GROUP BY 1
         """,
         "membership_scan": f"""
-            WITH {_MEMBERS_IN_FILES}
+            WITH {_MEMBERS}
             SELECT asset, start, "end",
                    CASE WHEN s = '05-02' THEN CAST(p_size AS BIGINT) END AS peso,
                    CASE WHEN s <> '05-02' THEN p_type END AS tipo,
@@ -399,6 +526,82 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN s <> '05-02' THEN p_retailprice END AS part
             FROM members
         """,
+        "file_listing": """
+            SELECT 'txt' AS kind, CAST(sum(strlen(p_name) + 1) AS BIGINT) AS length FROM part
+        """,
+        "malformed_lines": f"""
+            SELECT CAST(year(l_shipdate) AS VARCHAR) AS file,
+                   CASE WHEN digit = 3 THEN 'length 100 is below the 188 characters of a record'
+                        ELSE 'a numeric field is not a whole number' END AS defect,
+                   CASE WHEN digit = 3 THEN head
+                        ELSE rpad(head, 108, ' ') || lpad(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR), 13, '0')
+                             || repeat(' ', 31) || rpad('many', 18, ' ')
+                             || lpad(CAST(CAST(round(l_extendedprice * 100) AS BIGINT) * CAST(l_quantity AS BIGINT) AS VARCHAR),
+                                     18, '0') END AS line
+            FROM ({_DEFECTIVE}) WHERE digit IN (3, 5)
+        """,
+        "fixed_width_lenient": _QUOTE_RECORDS + f" FROM ({_DEFECTIVE}) WHERE digit NOT IN (3, 5)",
+        "layout_fields": """
+            SELECT CAST(year(l_shipdate) AS BIGINT) AS year,
+                   CASE WHEN l_linestatus = 'F' THEN 'p' ELSE 'P' END || substr(CAST(l_partkey AS VARCHAR), 1, 3) AS ticker,
+                   CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
+                   CASE WHEN l_linestatus = 'F' THEN 'p' ELSE 'P' END || l_partkey AS asset, l_extendedprice AS close
+            FROM lineitem
+        """,
+        "validity_join_hot_day": f"""
+            WITH quotes AS (
+                SELECT CASE WHEN l_returnflag = 'R' THEN 'P1' ELSE 'P' || l_partkey END AS asset,
+                       CASE WHEN l_returnflag = 'R' THEN DATE '1997-02-03' ELSE CAST(l_shipdate AS DATE) END AS date,
+                       l_extendedprice AS close
+                FROM lineitem
+            ), {_MEMBERS}
+            SELECT q.asset, q.date, q.close, m.start, m."end"
+            FROM quotes q JOIN members m
+              ON q.asset = m.asset AND q.date >= m.start AND q.date <= m."end"
+        """,
+        "consolidated_dirty": f"""
+            WITH {_MEMBERS}
+            SELECT CAST(l_shipdate AS DATE) AS date, m.asset, l_extendedprice AS close,
+                   CASE WHEN l_linenumber NOT IN (2, 4, 5, 6) THEN l_quantity * l_extendedprice / 8 END AS volume
+            FROM lineitem JOIN members m
+              ON m.asset = 'P' || l_partkey AND CAST(l_shipdate AS DATE) BETWEEN m.start AND m."end"
+        """,
+        "consolidated_half_shares": f"""
+            WITH {_MEMBERS}
+            SELECT CAST(l_shipdate AS DATE) AS date, m.asset, l_extendedprice AS close,
+                   CAST(round_even(l_quantity / 2, 0) AS BIGINT) AS volume
+            FROM lineitem JOIN members m
+              ON m.asset = 'P' || l_partkey AND CAST(l_shipdate AS DATE) BETWEEN m.start AND m."end"
+        """,
+        "year_slice": _CONSOLIDATED.format(
+            members=_MEMBERS,
+            volume="q.volume_brl",
+            extra=", CAST(year(q.date) AS INTEGER) AS year",
+        )
+        + " WHERE year(q.date) IN (1995, 1998)",
+        "quality_report": f"""
+            WITH {_REPORT_CSV}, bars AS ({_histogram_sql("SELECT close FROM csv WHERE close IS NOT NULL", 5)}),
+            top AS (
+                SELECT asset, count(*) AS n FROM csv WHERE asset IS NOT NULL GROUP BY asset ORDER BY n DESC, asset LIMIT 10
+            )
+            SELECT 'summary' AS part, 'rows' AS name, CAST(count(*) AS VARCHAR) AS value FROM csv
+            UNION ALL SELECT 'summary', 'assets', CAST(count(DISTINCT asset) AS VARCHAR) FROM csv
+            UNION ALL SELECT 'summary', 'date_min', CAST(min(date) AS VARCHAR) FROM csv
+            UNION ALL SELECT 'summary', 'date_max', CAST(max(date) AS VARCHAR) FROM csv
+            UNION ALL SELECT 'check', 'precos_positivos', 'false'
+            UNION ALL SELECT 'check', 'sem_nulos_nucleares', 'false'
+            UNION ALL SELECT 'check', 'ativos_disponiveis', 'true'
+            UNION ALL SELECT 'zero', asset, CAST(count(*) AS VARCHAR) FROM csv
+                WHERE asset IS NOT NULL AND coalesce(volume, 0) = 0 GROUP BY asset
+            UNION ALL SELECT 'close', label, CAST(count AS VARCHAR) FROM bars
+            UNION ALL SELECT 'volume',
+                CASE WHEN volume <= 0 THEN '<=0' ELSE '1e' || CAST(floor(log10(volume)) AS BIGINT) END,
+                CAST(count(*) AS VARCHAR) FROM csv WHERE volume IS NOT NULL GROUP BY 2
+            UNION ALL SELECT 'top', asset, CAST(n AS VARCHAR) FROM top
+        """,
+        "close_histogram_gaps": _histogram_sql(
+            "SELECT l_extendedprice AS close FROM lineitem WHERE l_linenumber > 3", 7
+        ),
         "equity_filter": """
             SELECT CAST(l_shipdate AS DATE) AS date, '02' AS "BDI", 'P' || l_partkey AS asset,
                    CASE WHEN l_linenumber <> 5 THEN 'ON      NM' END AS spec,
@@ -429,7 +632,7 @@ def oracle_sql() -> dict[str, str]:
             members=_MEMBERS, volume="q.volume_shares", extra=""
         ),
         "consolidated_from_files": _CONSOLIDATED.format(
-            members=_MEMBERS_IN_FILES,
+            members=_MEMBERS,
             volume="CASE WHEN q.l_linenumber = 7 THEN 0 ELSE q.volume_shares END",
             extra="",
         ),

@@ -4,57 +4,41 @@ from __future__ import annotations
 
 from pathlib import Path
 
-LINE_WIDTH = 245
-
-
-def quote_line(
-    record: str = "01",
-    date: str = "20240102",
-    bdi: str = "02",
-    asset: str = "PETR4",
-    spec: str = "PN      N1",
-    close: object = 1234567,
-    shares: object = 987654,
-    brl: object = 7654321,
-) -> str:
-    """A 245-character record; numbers are zero-padded, strings are put in as they are."""
-    chars = [" "] * LINE_WIDTH
-
-    def put(position: int, width: int, value: object) -> None:
-        text = f"{value:0{width}d}" if isinstance(value, int) else str(value).ljust(width)
-        chars[position - 1 : position - 1 + width] = text[:width]
+import tickerloom as tl
 
-    put(1, 2, record)
-    put(3, 8, date)
-    put(11, 2, bdi)
-    put(13, 12, asset)
-    put(40, 10, spec)
-    put(109, 13, close)
-    put(153, 18, shares)
-    put(171, 18, brl)
-    return "".join(chars)
-
-
-# The seven sample records: equities, a suspended paper, a receipt, two non-members.
+LINE_WIDTH = 245
+DEFAULTS = {
+    "date_raw": "20310514", "BDI": "02", "asset": "QUAR3", "spec": "ON      N2", "close": 2050, "volume_shares": 31,
+    "volume_brl": 63550,
+}
+SHORT = {"date": "date_raw", "bdi": "BDI", "shares": "volume_shares", "brl": "volume_brl"}
+
+
+def quote_line(record: str = "01", **given: object) -> str:
+    """A record laid out as ``QUOTE_LAYOUT`` says; numbers are zero-padded, texts put in as they are."""
+    values = DEFAULTS | {SHORT.get(name, name): value for name, value in given.items()}
+    line = record.ljust(LINE_WIDTH)
+    for field in tl.QUOTE_LAYOUT.fields:
+        value = values[field.name]
+        text = str(value).rjust(field.width, "0") if isinstance(value, int) else str(value).ljust(field.width)
+        before, after = field.position - 1, field.last
+        line = line[:before] + text[: field.width] + line[after:]
+    return line
+
+
+# A week of made-up quotes: members, a paper outside the regular market, a receipt, two non-members.
 SAMPLE_LINES = [
-    quote_line(date="20250902", asset="PETR4", close=1234500, shares=1500, brl=185175000),
-    quote_line(
-        date="20250902", asset="VALE3", spec="ON      NM", close=9876500, shares=2000, brl=1975300000
-    ),
-    quote_line(date="20250902", bdi="96", asset="PETR4", close=1200000, shares=100, brl=12000000),
-    quote_line(
-        date="20250903", asset="ITUB4", spec="PN      NM", close=3456700, shares=1800, brl=622206000
-    ),
-    quote_line(
-        date="20250903", asset="BBAS3", spec="ON      NM", close=4567800, shares=2200, brl=1004916000
-    ),
-    quote_line(date="20250903", asset="ITSA4", spec="BDR", close=2100000, shares=500, brl=105000000),
-    quote_line(
-        date="20250904", asset="BBDC4", spec="PN      NM", close=3210000, shares=1600, brl=513600000
-    ),
+    quote_line(asset="SOLA4", spec="PN      N2", close=870, shares=40, brl=34800),
+    quote_line(asset="LUMI3", close=15025, shares=12, brl=180300),
+    quote_line(asset="LUMI3", bdi="78", close=14000, shares=1, brl=14000),
+    quote_line(date="20310515", asset="FOZ11", spec="UNT     N2", close=4400, shares=5, brl=22000),
+    quote_line(date="20310515", asset="NORD3", close=99, shares=1000, brl=99000),
+    quote_line(date="20310515", asset="MARE3", spec="BDR", close=6200, shares=3, brl=18600),
+    quote_line(date="20310516", asset="VALE9", close=77, shares=8, brl=616),
 ]
 
-SAMPLE_PORTFOLIO = "Codigo;Peso\nPETR4;12\nVALE3;10\nITUB4;8\n\n"
+SAMPLE_PORTFOLIO = "Peso;Codigo\n3;sola4\n9;LUMI3\n\n6; foz11\n1;MARE3\n"
+SAMPLE_PERIOD = "IBOV_2031-05-01_2031-08-29.csv"
 
 
 def write_lines(path: Path, lines: list[str], newline: str = "\n") -> Path:

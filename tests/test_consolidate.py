@@ -9,32 +9,32 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import tickerloom as tl
-from tests.helpers import SAMPLE_LINES, SAMPLE_PORTFOLIO, quote_line, rows, write_lines, write_text
+from tests.helpers import SAMPLE_LINES, SAMPLE_PERIOD, SAMPLE_PORTFOLIO, quote_line, rows, write_lines, write_text
 
+
+# What the made-up week leaves: regular market, no receipts, members only.
 BRL = [
-    (date(2025, 9, 3), "ITUB4", 34567.0, 6222060.0),
-    (date(2025, 9, 2), "PETR4", 12345.0, 1851750.0),
-    (date(2025, 9, 2), "VALE3", 98765.0, 19753000.0),
+    (date(2031, 5, 15), "FOZ11", 44.0, 220.0),
+    (date(2031, 5, 14), "LUMI3", 150.25, 1803.0),
+    (date(2031, 5, 14), "SOLA4", 8.7, 348.0),
 ]
 
 
 @pytest.fixture
 def folders(tmp_path):
-    write_lines(tmp_path / "quotes" / "COTAHIST.A2025.TXT", SAMPLE_LINES)
-    write_text(tmp_path / "members" / "IBOV_2025-09-02_2026-01-02.csv", SAMPLE_PORTFOLIO)
+    write_lines(tmp_path / "quotes" / "COTAHIST.A2031.TXT", SAMPLE_LINES)
+    write_text(tmp_path / "members" / SAMPLE_PERIOD, SAMPLE_PORTFOLIO)
     return str(tmp_path / "quotes"), str(tmp_path / "members")
 
 
-def test_money_volume(spark, folders):
-    table = tl.build_dataset(spark, *folders)
-    assert table.columns == ["date", "asset", "close", "volume"]
-    assert rows(table) == BRL
-
-
-def test_share_volume(spark, folders):
-    table = tl.build_dataset(spark, *folders, volume_field="volume_shares")
-    assert dict(table.dtypes)["volume"] == "bigint"
-    assert [row["volume"] for row in table.collect()] == [1800, 1500, 2000]
+@pytest.mark.parametrize(
+    ("field", "kind", "volumes"),
+    [("volume_brl", "double", [220.0, 1803.0, 348.0]), ("volume_shares", "bigint", [5, 12, 40])],
+)
+def test_either_volume(spark, folders, field, kind, volumes):
+    table = tl.build_dataset(spark, *folders, volume_field=field)
+    assert table.columns == ["date", "asset", "close", "volume"] and dict(table.dtypes)["volume"] == kind
+    assert rows(table) == [(*row[:3], volume) for row, volume in zip(BRL, volumes)]
 
 
 def test_windows_too_big_to_broadcast(spark, folders):
@@ -61,7 +61,7 @@ def test_missing_inputs(spark, folders, tmp_path):
         tl.build_dataset(spark, str(tmp_path / "empty"), members)
     with pytest.raises(ValueError):
         tl.build_dataset(spark, quotes, str(tmp_path / "empty"))
-    write_text(tmp_path / "bare" / "IBOV_2025-09-02_2026-01-02.csv", "Codigo;Peso\n")
+    write_text(tmp_path / "bare" / SAMPLE_PERIOD, "Codigo;Peso\n")
     with pytest.raises(ValueError):
         tl.build_dataset(spark, quotes, str(tmp_path / "bare"))
 
@@ -129,6 +129,18 @@ def test_plan(spark, folders):
     assert "Peso" not in plan
 
 
+def test_one_shuffle_from_text_to_parquet(spark, folders):
+    """The sink owns the only exchange; the quote files are read once."""
+    from tickerloom.plans import tables
+
+    table = tl.build_dataset(spark, *folders, ordered=False)
+    assert " Exchange " not in table._jdf.queryExecution().executedPlan().toString()
+    dealt = table.withColumn("year", F.year("date")).hint("rebalance", "year")
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan text") == 1
+    assert tables.ASSET_BUCKETS > 1
+
+
 # --- sinks ---------------------------------------------------------------------------
 
 
@@ -136,10 +148,10 @@ def test_csv(spark, folders, tmp_path):
     path = tl.write_csv(tl.build_dataset(spark, *folders), str(tmp_path / "new" / "out"))
     assert rows(tl.read_consolidated_csv(spark, path).orderBy("asset")) == BRL
     text = "".join(sorted(p.read_text() for p in Path(path).glob("*.csv")))
-    assert "19753000.00" in text and "E7" not in text
+    assert "1803.00" in text and "150.25" in text
     parts = pd.concat(pd.read_csv(p) for p in sorted(Path(path).glob("*.csv")))
-    assert parts["volume"].tolist() == [6222060.0, 1851750.0, 19753000.0]
-    assert parts["date"].tolist() == ["2025-09-03", "2025-09-02", "2025-09-02"]
+    assert parts["volume"].tolist() == [220.0, 1803.0, 348.0]
+    assert parts["date"].tolist() == ["2031-05-15", "2031-05-14", "2031-05-14"]
     tl.write_csv(tl.build_dataset(spark, *folders).limit(1), path)
     assert tl.read_consolidated_csv(spark, path).count() == 1
 

@@ -204,6 +204,7 @@ def test_checks(spark, tmp_path):
 
 def test_validate(spark, tmp_path):
     report = tl.validate(spark, str(write_text(tmp_path / "t.csv", GOOD)))
+    assert report.ok and report.require() is report and report.rows == 2
     assert rows(report.summary) == [(2, 2, date(2024, 1, 2), date(2024, 1, 3))]
     assert rows(report.zero_activity) == [("VALE3", 1)]
     assert [bar[4] for bar in rows(report.close_histogram)] == [1, 0, 0, 0, 1]
@@ -218,26 +219,77 @@ def test_validate(spark, tmp_path):
         ("2024-01-04,ABEV3,,5", ["precos_positivos", "sem_nulos_nucleares"]),
         (",ABEV3,1,5", ["sem_nulos_nucleares"]),
         ("2024-01-04,ABEV3,1,", ["sem_nulos_nucleares"]),
+        ("2024-01-04,ABEV3,1,NaN", ["sem_nulos_nucleares"]),
+        ("2024-01-04,ABEV3,1,many", ["sem_nulos_nucleares"]),
+        ("some day,ABEV3,1,5", ["sem_nulos_nucleares"]),
+        ("2024-01-04,ABEV3,NaN,5", ["precos_positivos", "sem_nulos_nucleares"]),
     ],
 )
 def test_failing_tables(spark, tmp_path, line, failed):
     path = write_text(tmp_path / "t.csv", GOOD + line + "\n")
+    report = tl.validate(spark, str(path))
+    assert not report.ok and list(report.failed) == failed
+    assert [name for name, ok in rows(report.checks) if not ok] == failed
+    assert report.summary.first()["rows"] == 3 and report.top_assets.count() == 3
+    assert report.close_histogram.count() == 5 and report.zero_activity.count() >= 1
     with pytest.raises(tl.QualityError) as error:
-        tl.validate(spark, str(path))
+        report.require()
     assert str(error.value) == f"failed checks: {', '.join(failed)}"
+    with pytest.raises(tl.QualityError):
+        tl.require_quality(tl.read_table_csv(spark, str(path)))
 
 
 def test_no_assets(spark, tmp_path):
     path = write_text(tmp_path / "t.csv", "date,asset,close,volume\n2024-01-04,,1,5\n")
     with pytest.raises(tl.QualityError, match="ativos_disponiveis"):
-        tl.validate(spark, str(path))
+        tl.validate(spark, str(path)).require()
 
 
 def test_empty_table_passes(spark, tmp_path):
     path = write_text(tmp_path / "t.csv", "date,asset,close,volume\n")
     with pytest.warns(UserWarning, match="empty"):
         report = tl.validate(spark, str(path))
-    assert report.close_histogram.isEmpty()
+    assert report.ok and report.close_histogram.isEmpty()
+
+
+def test_empty_table_without_core_columns_passes(spark, tmp_path):
+    path = write_text(tmp_path / "t.csv", "date,asset\n")
+    with pytest.warns(UserWarning, match="empty"):
+        assert tl.validate(spark, str(path)).ok
+    with pytest.warns(UserWarning, match="empty"):
+        tl.require_quality(tl.read_table_csv(spark, str(path)))
+    with pytest.raises(KeyError):
+        tl.validate(spark, str(write_text(tmp_path / "u.csv", "date,asset\n2024-01-02,PETR4\n")))
+
+
+def test_report_reads_the_table_once_per_part(spark, tmp_path):
+    table = tl.read_table_csv(spark, str(write_text(tmp_path / "t.csv", GOOD)))
+    report = tl.quality_report(table)
+    for part in (report.summary, report.checks):
+        assert "FileScan" not in part._jdf.queryExecution().executedPlan().toString()
+    for part in (report.zero_activity, report.close_histogram, report.volume_magnitude, report.top_assets):
+        assert part._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_infinite_numbers_are_one_stated_error(spark):
+    with pytest.raises(ValueError, match="infinite"):
+        tl.close_histogram(closes(spark, [1.0, float("inf")]))
+    with pytest.raises(PySparkException, match="infinite"):
+        tl.volume_magnitude(closes(spark, [float("inf")]), "close").collect()
+
+
+@pytest.mark.parametrize("bins", [3, 7, 50, 1000])
+def test_every_edge_falls_into_its_own_bin(spark, bins):
+    low, high = 0.1, 97.3
+    step = (high - low) / bins
+    edges = [i * step + low for i in range(1, bins)]
+    values = sorted({low, high, *edges, *(math.nextafter(e, 0) for e in edges), *(math.nextafter(e, 1e9) for e in edges)})
+    found = {row[0]: row[4] for row in rows(tl.close_histogram(closes(spark, values), bins))}
+    want = {}
+    for v in values:
+        number = next((i + 1 for i, e in enumerate(edges) if v <= e), bins)
+        want[number] = want.get(number, 0) + 1
+    assert {k: n for k, n in found.items() if n} == want
 
 
 def test_missing_table(spark, tmp_path):

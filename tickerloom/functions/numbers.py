@@ -6,14 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickerloom.functions.text import WHITESPACE
+
 # Whole numbers up to here are exact as doubles, so one IEEE division rounds correctly.
 EXACT_DOUBLE = 2**53
+INFINITE = "an infinite number has no place in a histogram"
+
 
+def whole_number(text: Column, decoded: Column | None = None) -> Column:
+    """Digits as bigint: blank is 0, anything else that is no integer is null.
 
-def whole_number(text: Column) -> Column:
-    """Digits as bigint: blank is 0, anything else that is no integer is null."""
-    blank = F.when(F.trim(text) == "", F.lit(0).cast("bigint"))
-    return F.coalesce(text.try_cast("bigint"), blank)
+    ``decoded`` is the same text with its blanks readable, where ``text`` holds
+    raw bytes; only what is no plain number is looked at there.
+    """
+    bare = F.btrim(text if decoded is None else decoded, F.lit(WHITESPACE))
+    blank = F.when(bare == "", F.lit(0).cast("bigint"))
+    return F.coalesce(text.try_cast("bigint"), blank, bare.try_cast("bigint"))
 
 
 def cents_to_units(cents: Column) -> Column:
@@ -47,14 +55,24 @@ def rounded_shares(value: Column, dtype: T.DataType) -> Column:
 
 
 def magnitude_label(value: Column) -> Column:
-    """Order of magnitude of a number as ``1e<k>``, or ``<=0``."""
+    """Order of magnitude of a number as ``1e<k>``, or ``<=0``; infinity fails the job."""
     power = F.floor(F.log10(value)).cast("string")
-    return F.when(value <= 0, F.lit("<=0")).otherwise(F.concat(F.lit("1e"), power))
+    infinite = F.raise_error(F.lit(INFINITE)).cast("string")
+    return (
+        F.when(value <= 0, F.lit("<=0"))
+        .when(value == float("inf"), infinite)
+        .otherwise(F.concat(F.lit("1e"), power))
+    )
+
 
+def is_missing(name: str, dtype: T.DataType, number: bool = False) -> Column:
+    """Whether a column is null, or NaN where its type has NaN.
 
-def is_missing(name: str, dtype: T.DataType) -> Column:
-    """Whether a column is null, or NaN where its type has NaN."""
+    ``number``: text that is not a number, ``NaN`` included, is missing as well.
+    """
     column = F.col(name)
+    if number and isinstance(dtype, T.StringType):
+        return number_or_null(column).isNull()
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return column.isNull() | F.isnan(column)
     return column.isNull()

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.functions.numbers import magnitude_label, number_or_null
+from tickerloom.functions.numbers import INFINITE, magnitude_label, number_or_null
 from tickerloom.functions.text import quoted
 from tickerloom.operators.equities import require_columns
 
@@ -48,38 +49,50 @@ def _labels(edges: list[float]) -> list[str]:
     return [f"({low}, {high}]" for low, high in zip(shown, shown[1:])]
 
 
-def _bin_of(value: Column, inner: list[float], first: int = 1) -> Column:
-    """Number of the right-closed bin of a value: a balanced tree of comparisons."""
-    if not inner:
-        return F.lit(first)
-    middle = len(inner) // 2
-    return F.when(value <= inner[middle], _bin_of(value, inner[:middle], first)).otherwise(
-        _bin_of(value, inner[middle + 1 :], first + middle + 1)
-    )
+def _bin_of(value: Column, low: float, step: float, bins: int) -> Column:
+    """Number of the right-closed bin of a value.
+
+    Division finds the bin or, by rounding, a neighbour; the edges next to it,
+    computed as the labels' edges are, decide.
+    """
+    guess = F.greatest(F.lit(1), F.least(F.lit(bins), F.ceil((value - low) / step).cast("int")))
+    below = (guess > 1) & (value <= (guess - 1) * F.lit(step) + low)
+    above = (guess < bins) & (value > guess * F.lit(step) + low)
+    return F.when(below, guess - 1).when(above, guess + 1).otherwise(guess)
+
+
+class PriceRange(NamedTuple):
+    low: float | None
+    high: float | None
+    count: int
+
+
+def price_range() -> list[Column]:
+    """Aggregates of ``close`` that make a ``PriceRange``."""
+    close = number_or_null(F.col("close"))
+    return [F.min(close).alias("low"), F.max(close).alias("high"), F.count(close).alias("count")]
 
 
-def close_histogram(df: DataFrame, bins: int = 5) -> DataFrame:
+def close_histogram(df: DataFrame, bins: int = 5, known: PriceRange | None = None) -> DataFrame:
     """Closing prices in ``bins`` equal intervals: ``bin, lower, upper, label, count``.
 
     Intervals are closed on the right and empty ones are kept.  A single
-    distinct price gives one bar, no price none.  The range is looked up first
-    (one aggregated row); its edges are then literals of the counting query.
+    distinct price gives one bar, no price none, an infinite one is an error.
+    The range is looked up first (one aggregated row) unless it is ``known``; its
+    edges are then literals of the counting query.
     """
     require_columns(df, "close")
     if bins < 1:
         raise ValueError("bins must be at least 1")
     spark = df.sparkSession
     prices = df.select(number_or_null(F.col("close")).alias("close")).where("close is not null")
-    row = prices.agg(
-        F.min("close").alias("low"), F.max("close").alias("high"), F.count("close").alias("count")
-    ).first()
-    if row["count"] == 0:
+    low, high, count = known or PriceRange(*df.agg(*price_range()).first())
+    if count == 0:
         return spark.createDataFrame([], HISTOGRAM_SCHEMA)
-    low, high = row["low"], row["high"]
+    if math.isinf(low) or math.isinf(high):
+        raise ValueError(INFINITE)
     if low == high:
-        return spark.createDataFrame(
-            [(1, low, high, f"{low:.2f}", row["count"])], HISTOGRAM_SCHEMA
-        )
+        return spark.createDataFrame([(1, low, high, f"{low:.2f}", count)], HISTOGRAM_SCHEMA)
 
     step = (high - low) / bins
     inner = [i * step + low for i in range(1, bins)]
@@ -88,7 +101,7 @@ def close_histogram(df: DataFrame, bins: int = 5) -> DataFrame:
         list(zip(range(1, bins + 1), edges, edges[1:], _labels(edges))),
         "bin int, lower double, upper double, label string",
     )
-    counts = prices.groupBy(_bin_of(F.col("close"), inner).alias("bin")).agg(
+    counts = prices.groupBy(_bin_of(F.col("close"), low, step, bins).alias("bin")).agg(
         F.count(F.lit(1)).alias("count")
     )
     # One row per bin at most, so the counts can always be broadcast.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.functions.dates import day_or_null
@@ -10,16 +10,21 @@ from tickerloom.functions.numbers import number_or_null
 from tickerloom.operators.equities import require_columns
 
 
-def summary(df: DataFrame) -> DataFrame:
-    """One row: ``rows, assets, date_min, date_max``; unparsable dates are ignored."""
-    require_columns(df, "asset", "date")
+def summary_columns() -> list[Column]:
+    """The aggregates of a summary; unparsable dates are ignored."""
     day = day_or_null(F.col("date"))
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct("asset").alias("assets"),
         F.min(day).alias("date_min"),
         F.max(day).alias("date_max"),
-    )
+    ]
+
+
+def summary(df: DataFrame) -> DataFrame:
+    """One row: ``rows, assets, date_min, date_max``; unparsable dates are ignored."""
+    require_columns(df, "asset", "date")
+    return df.agg(*summary_columns())
 
 
 def asset_counts(df: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ def consolidate(
     volume_field: str = "volume_brl",
     broadcast_bytes: int = BROADCAST_BYTES,
     ordered: bool = True,
+    from_text: bool = False,
 ) -> DataFrame:
     """``date, asset, close, volume`` of regular equities while in the index.
 
@@ -39,9 +40,9 @@ def consolidate(
     Rows are sorted by asset and date, ties by close and volume; pass
     ``ordered=False`` when the table goes to a writer with an order of its own.
 
-    A sort or range partitioning runs its input twice, first to sample the
-    ranges.  The result of a broadcast join is therefore shuffled before, narrow
-    rows of members only, so that the quote files are parsed once.
+    A sort runs its input twice, first to sample the ranges.  ``from_text`` says
+    that reading the quotes is dear: the result of a broadcast join, narrow rows
+    of members only, is then shuffled before, so that they are parsed once.
     """
     _check_volume_field(volume_field)
     equities = equity_filter(quotes)
@@ -58,9 +59,9 @@ def consolidate(
     rows = joined.select(
         "date", "asset", "close", volume.alias("volume"), F.spark_partition_id().alias(ORIGIN)
     )
-    if size.fits(broadcast_bytes):
-        rows = rows.repartition("asset", "date", ORIGIN)
     if ordered:
+        if from_text and size.fits(broadcast_bytes):
+            rows = rows.repartition("asset", "date", ORIGIN)
         rows = rows.orderBy("asset", "date", "close", "volume", ORIGIN)
     return rows.drop(ORIGIN)
 
@@ -83,4 +84,4 @@ def build_dataset(
     _check_volume_field(volume_field)
     quotes = scan_quotes(spark, quotes_dir, layout, mode)
     members = scan_members(spark, members_dir, infer_types=False)
-    return consolidate(quotes, members, volume_field, broadcast_bytes, ordered)
+    return consolidate(quotes, members, volume_field, broadcast_bytes, ordered, from_text=True)

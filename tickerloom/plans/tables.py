@@ -14,6 +14,10 @@ from tickerloom.operators.equities import require_columns
 from tickerloom.sources.listing import path_missing
 
 
+# Assets of a year are dealt to so many buckets, each one file or more.
+ASSET_BUCKETS = 16
+
+
 def _plain_number(value: Column) -> Column:
     """Double as text without an exponent where two decimals hold it, NaN as missing."""
     money = value.try_cast("decimal(20,2)")
@@ -42,19 +46,19 @@ def write_csv(table: DataFrame, path: str) -> str:
 def _by_year(table: DataFrame) -> DataFrameWriter:
     """Writer of Snappy-compressed Parquet, one directory per year.
 
-    Rows are range-partitioned by year, asset and date, so that a big year is
-    shared by many tasks, each task writes to few years, and files hold narrow
-    ranges of assets which readers can skip.  The partition a row comes from
-    lets the ranges cut through equal rows.
+    One shuffle, by year and bucket of assets, without a pass to sample ranges;
+    adaptive execution cuts large partitions, a hot asset's too, and joins small
+    ones.  A year has few files, each sorted by asset, so that a lookup of one
+    asset skips most row groups and pages.
     """
     require_columns(table, "date", "asset")
-    order = ["year", "asset", "date"]
+    bucket = F.pmod(F.xxhash64("asset"), F.lit(ASSET_BUCKETS))
     return (
         table.withColumn("year", F.year("date"))
-        .withColumn("_origin", F.spark_partition_id())
-        .repartitionByRange(*order, "_origin")
-        .drop("_origin")
-        .sortWithinPartitions(*order)
+        .withColumn("_bucket", bucket)
+        .hint("rebalance", "year", "_bucket")
+        .drop("_bucket")
+        .sortWithinPartitions("year", "asset", "date")
         .write.mode("overwrite")
         .partitionBy("year")
         .option("compression", "snappy")

@@ -28,14 +28,11 @@ def _text(field: Field) -> Column:
 
 
 def _digits(field: Field) -> Column:
-    return whole_number(_bytes(field).cast("string"))
+    return whole_number(_bytes(field).cast("string"), F.decode(_bytes(field), CHARSET))
 
 
 def _value(field: Field) -> Column:
-    if field.kind == "code":
-        # No decoding and a quicker strip: codes are looked at on every line.
-        return F.trim(_bytes(field).cast("string"))
-    if field.kind == "text":
+    if field.kind in ("code", "text"):
         return _text(field)
     if field.kind == "whole":
         return _digits(field)

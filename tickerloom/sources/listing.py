@@ -18,6 +18,19 @@ def path_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def entry_names(spark: SparkSession, directory: str, pattern: str) -> list[str] | None:
+    """Names of the files and folders of ``directory`` that fit a glob; None if there is no such directory.
+
+    Only the directory itself is listed, not what is below it.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(directory)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return None
+    return sorted(entry.getPath().getName() for entry in system.globStatus(path(root, pattern)))
+
+
 def list_files(spark: SparkSession, directory: str, pattern: str | None = None) -> DataFrame:
     """Files directly in ``directory`` sorted by name; empty when there is no such directory.
 
@@ -26,7 +39,9 @@ def list_files(spark: SparkSession, directory: str, pattern: str | None = None)
     """
     root = directory.rstrip("/")
     try:
-        files = spark.read.format("binaryFile").load(f"{root}/{pattern or '*'}")
+        # Folders next to the files are no partitions of a table.
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        files = reader.load(f"{root}/{pattern or '*'}")
     except AnalysisException as error:
         if path_missing(error):
             return spark.createDataFrame([], LISTING_SCHEMA)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerloom.functions.text import normalize_asset, normalize_label, quoted
-from tickerloom.sources.listing import path_missing
+from tickerloom.sources.listing import entry_names, path_missing
 
 log = logging.getLogger(__name__)
 
@@ -38,7 +38,8 @@ def _check_period(start: date, end: date) -> None:
 
 
 def _delimiter(header: str) -> str:
-    return next((mark for mark in DELIMITERS if mark in header), ",")
+    bare = re.sub(r'"(?:[^"]|"")*"', "", header)  # marks inside quotes separate nothing
+    return next((mark for mark in DELIMITERS if mark in bare), ",")
 
 
 def _headers(lines: DataFrame, unit: Column) -> dict[str, list[str]]:
@@ -157,29 +158,21 @@ def scan_members(spark: SparkSession, directory: str, infer_types: bool = True)
     as text and saves a pass over them.
     """
     root = directory.rstrip("/")
-    try:
-        spark.read.format("binaryFile").load(root)
-    except AnalysisException as error:
-        if path_missing(error):
-            raise FileNotFoundError(f"no portfolio directory {directory}") from error
-        raise
-    try:
-        lines = spark.read.text(f"{root}/{PORTFOLIO_FILES}")
-    except AnalysisException as error:
-        if path_missing(error):
-            return spark.createDataFrame([], EMPTY_SCHEMA)
-        raise
+    unit = F.regexp_replace("_metadata.file_path", PART_FILE, "$1")
+    found = entry_names(spark, root, PORTFOLIO_FILES)
+    if found is None:
+        raise FileNotFoundError(f"no portfolio directory {directory}")
     named = set()
-    for path in lines.inputFiles():
-        unit = re.sub(PART_FILE, r"\1", unquote(path))
-        if _named_period(unit) is None:
-            log.warning("skipping %s: no validity period in its name", unit)
+    for name in found:  # one per portfolio, however many part files it has
+        if _named_period(f"/{name}") is None:
+            log.warning("skipping %s: no validity period in its name", f"{root}/{name}")
         else:
-            named.add(unit.rsplit("/", 1)[-1])
+            named.add(name)
     if not named:
         return spark.createDataFrame([], EMPTY_SCHEMA)
+    # Part files lie in folders of portfolios, which are no partitions of a table.
+    lines = spark.read.option("recursiveFileLookup", "true").text(f"{root}/{PORTFOLIO_FILES}")
 
-    unit = F.regexp_replace("_metadata.file_path", PART_FILE, "$1")
     # Spark gives these paths URL-encoded.
     headers = {
         header: [unquote(path) for path in paths]

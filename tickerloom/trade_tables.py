@@ -15,7 +15,6 @@ from tickerloom.sources.layout import QUOTE_LAYOUT, Layout
 
 LINE_WIDTH = 245
 YEARS = range(1995, 2002)
-PORTFOLIO_FILE_YEARS = (1996, 1997)
 # Start, end and the part type that is not in the index, per term; the last two overlap.
 TERMS = (
     ("01-02", "04-02", "PROMO"),
@@ -157,7 +156,7 @@ def write_quote_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def write_portfolio_files(spark: SparkSession, sf_dir: str) -> str:
-    """Portfolios of two years in two dialects, next to a file whose name does not fit."""
+    """Portfolios in two dialects, one with a quoted header, next to a file whose name does not fit and nested folders."""
     path = scratch_path(spark, "portfolios")
     parts = table(spark, sf_dir, "part").select(
         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("asset"),
@@ -165,12 +164,12 @@ def write_portfolio_files(spark: SparkSession, sf_dir: str) -> str:
         "p_size",
         "p_retailprice",
     )
-    for year in PORTFOLIO_FILE_YEARS:
+    for year in YEARS:
         for number, (start, end, left_out) in enumerate(TERMS):
             inside = parts.where(F.col("p_type") != left_out)
             untidy = F.concat(F.lit(" "), F.lower("asset"), F.lit(" "))
             if number == 1:
-                sep, listed = ";", inside.select(untidy.alias("Codigo"), F.col("p_size").alias("Peso"))
+                sep, listed = ";", inside.select(untidy.alias("Codigo"), F.col("p_size").alias("Peso, kg"))
             else:
                 sep, listed = ",", inside.select(
                     F.col("asset").alias("Código"),
@@ -181,7 +180,91 @@ def write_portfolio_files(spark: SparkSession, sf_dir: str) -> str:
             name = f"IBOV_{year}-{start}_{year}-{end}.csv"
             listed.write.csv(
                 f"{path}/{name}", header=True, sep=sep,
-                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, quoteAll=number == 1,
             )
     parts.limit(0).select("asset").write.csv(f"{path}/IBOV_draft.csv", header=True)
+    parts.groupBy("p_type").count().write.partitionBy("p_type").csv(f"{path}/notes")
+    return path
+
+
+def defective_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quote lines of which some are cut short and some have letters in their share volume, by the last digit of the money volume."""
+    layout = {field.name: field for field in QUOTE_LAYOUT.fields}
+    shares, brl = layout["volume_shares"], layout["volume_brl"]
+    line = F.col("value").cast("binary")
+
+    def part(start: int, length: int) -> Column:
+        return F.substring(line, start, length)
+
+    spoiled = F.concat(
+        part(1, shares.position - 1), F.rpad(F.lit("many"), shares.width, " ").cast("binary"),
+        part(brl.position, LINE_WIDTH - shares.last),
+    )
+    last = part(brl.last, 1).cast("string")
+    value = F.when(last == "3", part(1, 100)).when(last == "5", spoiled).otherwise(line)
+    return quote_lines(spark, sf_dir).select("year", value.cast("string").alias("value"))
+
+
+def write_defective_files(spark: SparkSession, sf_dir: str) -> str:
+    """Quote files of which some lines are bad; the directory holding them."""
+    path = scratch_path(spark, "defective")
+    (
+        defective_lines(spark, sf_dir)
+        .select(F.concat(F.col("year").cast("string"), F.lit(".TXT")).alias("COTAHIST_A"), "value")
+        .write.partitionBy("COTAHIST_A")
+        .text(path)
+    )
+    return path
+
+
+def dirty_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes with volumes as text: fractions, words, blanks, ``NaN`` and missing ones."""
+    number = (F.col("l_quantity") * F.col("l_extendedprice") / 8).cast("string")
+    text = (
+        F.when(F.col("l_linenumber") == 2, "n/a")
+        .when(F.col("l_linenumber") == 4, "NaN")
+        .when(F.col("l_linenumber") == 5, "  ")
+        .when(F.col("l_linenumber") != 6, number)
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        F.lit("02").alias("BDI"),
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("asset"),
+        F.lit("ON").alias("spec"),
+        F.col("l_shipdate").cast("date").alias("date"),
+        F.col("l_extendedprice").alias("close"),
+        text.alias("volume_brl"),
+        (F.col("l_quantity") / 2).alias("volume_shares"),
+    )
+
+
+def hot_day_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes of which one asset on one day holds a third."""
+    hot = F.col("l_returnflag") == "R"
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(hot, "P1").otherwise(F.concat(F.lit("P"), F.col("l_partkey").cast("string"))).alias("asset"),
+        F.when(hot, F.lit("1997-02-03").cast("date")).otherwise(F.col("l_shipdate").cast("date")).alias("date"),
+        F.col("l_extendedprice").alias("close"),
+    )
+
+
+def report_csv(spark: SparkSession, sf_dir: str) -> str:
+    """A consolidated CSV with ``NaN``, empty and unreadable values; its path."""
+    day = F.col("l_shipdate").cast("date").cast("string")
+    volume = F.col("l_quantity").cast("bigint").cast("string")
+    path = scratch_path(spark, "report_csv")
+    (
+        table(spark, sf_dir, "lineitem")
+        .select(
+            F.when(F.col("l_linenumber") == 6, "some day").otherwise(day).alias("date"),
+            F.when(F.col("l_linenumber") != 7, F.concat(F.lit("P"), F.col("l_partkey").cast("string"))).alias("asset"),
+            F.when(F.col("l_linenumber") == 5, "NaN")
+            .when(F.col("l_linenumber") != 4, F.col("l_extendedprice").cast("string"))
+            .alias("close"),
+            F.when(F.col("l_linenumber") == 2, "many")
+            .when(F.col("l_linenumber") == 3, "0")
+            .when(F.col("l_linenumber") != 1, volume)
+            .alias("volume"),
+        )
+        .write.csv(path, header=True)
+    )
     return path
