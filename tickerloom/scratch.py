@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder shared by all machines that the session names in ``spark.checkpoint.dir``."""
+    """A folder that the driver and all executors share.
+
+    It is the one the session names in ``spark.checkpoint.dir``; where that is
+    unset, a folder in the warehouse, which every machine must reach as well.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors can reach")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return shared.rstrip("/")
 
 
