@@ -74,7 +74,10 @@ def test_id_memo_is_bounded(monkeypatch):
     for k in range(30):
         text = prose(k, 60)
         assert np.frombuffer(tokenizer.ids(text), "<u4").tolist() == tokenizer.library.encode(text).ids
-    assert len(tokenizer.words) <= 200 and len(tokenizer.known) <= 200
+    assert len(tokenizer.memo) <= 300
+    texts = _texts()
+    want = [tokenizer.library.encode(text or "", add_special_tokens=False).ids for text in texts]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in tokenizer.ids_of(texts)] == want
 
 
 def _fill(counts, capacities):

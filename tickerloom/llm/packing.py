@@ -28,9 +28,12 @@ from tickerloom.llm.common import column, saved
 
 #: Pieces of one length are ranked in buckets of about so many.
 RANKED_TOGETHER = 100_000
-#: Ids of words and of parts of words a worker keeps, and the longest it keeps.
-MEMO_ENTRIES = 300_000
+#: Words and parts of words a worker keeps ids of, and the longest it keeps.
+MEMO_ENTRIES = 1_000_000
 MEMO_CHARS = 64
+#: Characters of text, and then parts of words, that are looked up together.
+CHARS_AT_ONCE = 1 << 20
+PARTS_AT_ONCE = 200
 
 # Fixed value: how the tokenizer file cuts lower-case text; a file with another pattern is used as a whole.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -68,8 +71,10 @@ class WordTokenizer:
         self.special = [token["content"] for token in made.get("added_tokens", [])]
         self.parts = regex.compile(_PATTERN)
         self.beyond = regex.compile("[^\t-\r\x20-\x7e\xa0-\u012f\u0131-\u024f\u2010-\u2026\u20ac]")
-        self.words: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.memo: dict[str, bytes] = {}  # a part is a word, too, and has the same ids
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         return [
@@ -77,37 +82,68 @@ class WordTokenizer:
             for found in self.library.encode_batch_fast(texts, add_special_tokens=False)
         ]
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        cut = {word: self.parts.findall(word) for word in words}
-        new = list({part for parts in cut.values() for part in parts if part not in self.known})
-        if len(self.known) + len(new) > MEMO_ENTRIES:
-            self.known = {}
-            new = list({part for parts in cut.values() for part in parts})
-        here = dict(zip(new, self._encoded(new), strict=True))
-        found = {
-            word: b"".join(here[part] if part in here else self.known[part] for part in parts)
-            for word, parts in cut.items()
-        }
-        self.known.update((part, ids) for part, ids in here.items() if len(part) <= MEMO_CHARS)
+    def _encoded_parts(self, parts: list[str]) -> list[bytes]:
+        """Each part alone; many go to the library as one text, cut again after the ids that end a word."""
+        groups = [parts[i : i + PARTS_AT_ONCE] for i in range(0, len(parts), PARTS_AT_ONCE)]
+        out: list[bytes] = []
+        for group, ids in zip(groups, self._encoded([" ".join(group) for group in groups]), strict=True):
+            last = np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1
+            if len(last) != len(group):
+                out += self._encoded(group)
+                continue
+            edges = [0, *(4 * last).tolist()]
+            out += [ids[i:j] for i, j in zip(edges, edges[1:])]
+        return out
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that the memo does not have; it keeps them and their parts."""
+        memo = self.memo
+        # A word of letters alone is one part.
+        cut = {word: self.parts.findall(word) for word in words if not word.isalpha()}
+        new = {word for word in words if word not in cut}
+        new.update(part for parts in cut.values() for part in parts if part not in memo)
+        order = sorted(new)
+        found = dict(zip(order, self._encoded_parts(order), strict=True))
+        for word, parts in cut.items():
+            found[word] = b"".join([found[part] if part in new else memo[part] for part in parts])
+        if len(memo) + len(found) > MEMO_ENTRIES:
+            memo = self.memo = {}
+        memo.update((word, ids) for word, ids in found.items() if len(word) <= MEMO_CHARS)
         return found
 
+    def _look_up(self, split: list[tuple[int, list[str]]], out: list[bytes]) -> None:
+        memo = self.memo
+        known = memo
+        new = [word for word in set().union(*(words for _, words in split)) if word not in memo]
+        if new:
+            found = self._learn(new)
+            if self.memo is not memo or any(len(word) > MEMO_CHARS for word in new):
+                known = memo | found  # the memo was emptied, or does not keep them all
+        for at, words in split:
+            out[at] = b"".join(map(known.__getitem__, words))
+
+    def ids_of(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of every text; null has none."""
+        out = [b""] * len(texts)
+        split: list[tuple[int, list[str]]] = []
+        size = 0
+        for at, text in enumerate(texts):
+            if not text:
+                continue
+            if not self.by_word or self.beyond.search(text) or any(token in text for token in self.special):
+                out[at] = self._encoded([text])[0]
+                continue
+            split.append((at, text.lower().split()))
+            size += len(text)
+            if size >= CHARS_AT_ONCE:
+                self._look_up(split, out)
+                split, size = [], 0
+        if split:
+            self._look_up(split, out)
+        return out
+
     def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.by_word or self.beyond.search(text) or any(token in text for token in self.special):
-            return self._encoded([text])[0]
-        words = text.lower().split()
-        memo = self.words
-        try:
-            return b"".join(map(memo.__getitem__, words))
-        except KeyError:
-            pass
-        new = self._learn({word for word in words if word not in memo})
-        ids = b"".join([memo[word] if word in memo else new[word] for word in words])
-        if len(memo) + len(new) > MEMO_ENTRIES:
-            self.words = memo = {}
-        memo.update((word, found) for word, found in new.items() if len(word) <= MEMO_CHARS)
-        return ids
+        return self.ids_of([text])[0]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -131,8 +167,8 @@ def token_pieces(text: Column, path: str, capacity: int, end: int = 0) -> Column
     def pieces(texts: pa.Array) -> pa.Array:
         tokenizer = word_tokenizer(path)
         rows = []
-        for text in texts:
-            ids = tokenizer.ids(text.as_py()) + last
+        for found in tokenizer.ids_of(texts.to_pylist()):
+            ids = found + last
             rows.append(
                 [
                     {"piece": k, "start": k * capacity, "length": len(part) // 4, "ids": part}
