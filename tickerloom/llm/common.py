@@ -9,9 +9,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.scratch import scratch_path
+from tickerloom.scratch import saved
 
-WORD = r"[^\x20\x09-\x0D]+"
+__all__ = ["column", "fit_logistic", "fresh", "is_held_out", "labelled_sample", "saved", "sigmoid", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,13 +31,6 @@ def column(df: DataFrame, name: str) -> Column:
     return df["`" + name.replace("`", "``") + "`"]
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df`` from a table in the shared scratch folder: cuts lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def is_held_out(doc_id: Column) -> Column:
     """crc32 of the id as text leaves 1 modulo 3; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
