@@ -171,6 +171,10 @@ def consolidated_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def adjusted_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tl.adjust_prices(tables.tidy_quotes(spark, sf_dir), tables.price_factors(spark, sf_dir))
+
+
 def consolidated_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unreadable volumes are missing."""
     return tl.consolidate(tables.dirty_quotes(spark, sf_dir), tables.members(spark, sf_dir))
@@ -359,6 +363,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         validity_join,
         validity_join_shuffled,
         validity_join_hot_day,
+        adjusted_prices,
         consolidated_brl,
         consolidated_shares,
         consolidated_dirty,
@@ -559,6 +564,14 @@ def oracle_sql() -> dict[str, str]:
             FROM quotes q JOIN members m
               ON q.asset = m.asset AND q.date >= m.start AND q.date <= m."end"
         """,
+        "adjusted_prices": f"""
+            WITH {_TIDY}
+            SELECT t.asset, date, volume,
+                   close * CASE WHEN p_type <> 'PROMO' AND date < DATE '1997-03-01' THEN CAST(0.5 AS DOUBLE) ELSE 1 END
+                         * CASE WHEN p_type <> 'PROMO' AND p_size < 20 AND date < DATE '1999-07-01'
+                                THEN CAST(0.25 AS DOUBLE) ELSE 1 END AS close
+            FROM tidy t JOIN part ON t.asset = 'P' || p_partkey
+        """,
         "consolidated_dirty": f"""
             WITH {_MEMBERS}
             SELECT CAST(l_shipdate AS DATE) AS date, m.asset, l_extendedprice AS close,

@@ -3,10 +3,12 @@
 Fixed-width daily quote files and period-stamped index portfolios go in; a
 consolidated ``date, asset, close, volume`` table and its quality report come
 out.  Every function takes and returns DataFrames built from column
-expressions; only the ``write_*`` functions, ``require_quality``, the size
-check of the validity join and the range lookup of the histogram run jobs.
+expressions; only the ``write_*`` functions, ``require_quality``, the reports,
+the size check of the validity join and the range lookup of the histogram run
+jobs.
 """
 
+from tickerloom.operators.adjust import adjust_prices
 from tickerloom.operators.checks import (
     QualityError,
     no_missing,
@@ -47,6 +49,7 @@ __all__ = [
     "QUOTE_LAYOUT",
     "QualityError",
     "QualityReport",
+    "adjust_prices",
     "asset_classes",
     "asset_counts",
     "build_dataset",

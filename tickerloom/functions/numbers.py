@@ -24,8 +24,10 @@ def whole_number(text: Column, decoded: Column | None = None) -> Column:
     return F.coalesce(text.try_cast("bigint"), blank, bare.try_cast("bigint"))
 
 
-def cents_to_units(cents: Column) -> Column:
-    """Integer cents as a double amount, rounded once."""
+def cents_to_units(cents: Column, digits: int = 18) -> Column:
+    """Integer cents of at most so many digits as a double amount, rounded once."""
+    if digits <= 15:
+        return cents.cast("double") / F.lit(100.0)
     exact = (cents.cast("decimal(18,0)") / F.lit(100)).cast("double")
     return F.when(F.abs(cents) <= EXACT_DOUBLE, cents.cast("double") / F.lit(100.0)).otherwise(
         exact

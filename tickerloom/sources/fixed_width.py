@@ -36,7 +36,7 @@ def _value(field: Field) -> Column:
         return _text(field)
     if field.kind == "whole":
         return _digits(field)
-    return cents_to_units(_digits(field))
+    return cents_to_units(_digits(field), field.width)
 
 
 def _is_quote(layout: Layout) -> Column:

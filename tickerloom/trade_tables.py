@@ -247,6 +247,21 @@ def hot_day_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def price_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two dated factors for small parts, one for the others but the promoted ones."""
+    parts = table(spark, sf_dir, "part")
+    event = F.array(
+        F.struct(F.lit("1997-03-01").cast("date").alias("date"), F.lit(0.5).alias("factor")),
+        F.struct(
+            F.lit("1999-07-01").cast("date").alias("date"),
+            F.when(F.col("p_size") < 20, F.lit(0.25)).alias("factor"),
+        ),
+    )
+    return parts.where("p_type <> 'PROMO'").select(
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("asset"), F.inline(event)
+    )
+
+
 def report_csv(spark: SparkSession, sf_dir: str) -> str:
     """A consolidated CSV with ``NaN``, empty and unreadable values; its path."""
     day = F.col("l_shipdate").cast("date").cast("string")
