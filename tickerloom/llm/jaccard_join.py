@@ -37,38 +37,35 @@ COMMON = 32
 COMBINED = 4_000_000
 #: Classes compared with classes at a time, within one bucket.
 BLOCK = 2048
+#: Documents whose ids and text hashes are broadcast to fetch their texts; more are joined by shuffling.
+BROADCAST_ROWS = 500_000
 
 
 def _classes(text: Column, words: int) -> Column:
-    """Size and class of a text's shingle set; class null if it is empty."""
+    """Size, class and sketch of a text's shingle set; class and sketch null if it is empty."""
 
-    @F.arrow_udf("struct<n:bigint,cls:bigint>")
+    @F.arrow_udf("struct<n:bigint,cls:bigint,sketch:binary>")
     def found(texts: pa.Array) -> pa.Array:
-        sizes, classes = [], []
+        sizes, classes, sketches = [], [], []
         for text in texts:
             one = shingles.shingle_set(text.as_py(), words)
             sizes.append(len(one))
             classes.append(shingles.class_of(one) if len(one) else None)
+            sketches.append(shingles.sketch(one) if len(one) else None)
         return pa.StructArray.from_arrays(
-            [pa.array(sizes, pa.int64()), pa.array(classes, pa.int64())], names=["n", "cls"]
+            [pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(sketches, pa.binary())],
+            names=["n", "cls", "sketch"],
         )
 
     return found(text)
 
 
-def _sets(text: Column, words: int) -> Column:
-    @F.arrow_udf("struct<cls:bigint,n:bigint,sketch:binary,shingles:binary>")
+def _shingles(text: Column, words: int) -> Column:
+    """The shingle set as bytes."""
+
+    @F.arrow_udf("binary")
     def found(texts: pa.Array) -> pa.Array:
-        rows = []
-        for text in texts:
-            one = shingles.shingle_set(text.as_py(), words)
-            rows.append((shingles.class_of(one), len(one), shingles.sketch(one), one.tobytes()))
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        columns = list(zip(*rows, strict=True)) or [()] * 4
-        return pa.StructArray.from_arrays(
-            [pa.array(values, kind) for values, kind in zip(columns, kinds, strict=True)],
-            names=["cls", "n", "sketch", "shingles"],
-        )
+        return pa.array([shingles.shingle_set(text.as_py(), words).tobytes() for text in texts], pa.binary())
 
     return found(text)
 
@@ -161,7 +158,7 @@ def _buckets(texts: DataFrame, words: int, percent: int) -> DataFrame:
     )
 
 
-def _needed(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _needed(buckets: DataFrame, kinds: DataFrame, percent: int) -> DataFrame:
     """``buckets`` without the classes that can do without the common ones."""
     bands = shingles.Bands(percent)
     table = buckets.sparkSession.createDataFrame(
@@ -181,7 +178,7 @@ def _needed(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     ).otherwise(0)
     bound = (
         common.join(F.broadcast(table), "band")
-        .join(classes.select("cls", "n"), "cls")
+        .join(kinds.select("cls", "n"), "cls")
         .filter(F.col("hot") > spare)
         .select("cls", "band")
     )
@@ -195,8 +192,45 @@ def _needed(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return rare.unionAll(rest)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` of classes whose sets are linked."""
+def _near(pairs: DataFrame, kinds: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` that sizes and sketches do not rule out; ``kinds`` has ``cls``, ``n``, ``sketch``."""
+    share = (100 - percent, 100 + percent)
+
+    @F.arrow_udf("boolean")
+    def check(na: pa.Array, nb: pa.Array, left: pa.Array, right: pa.Array) -> pa.Array:
+        if not len(left):
+            return pa.array([], pa.bool_())
+        total = na.to_numpy(zero_copy_only=False) + nb.to_numpy(zero_copy_only=False)
+        one, two = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).astype(np.int16) for x in (left, right))
+        apart = np.abs(one - two).reshape(-1, shingles.SKETCH).sum(axis=1, dtype=np.int64)
+        return pa.array(apart * share[1] <= total * share[0])
+
+    one = kinds.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    two = kinds.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    size = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    met = pairs.join(one, "a").join(two, "b").filter(size)
+    return met.filter(check(F.col("na"), F.col("nb"), F.col("sa"), F.col("sb"))).select("a", "b")
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` of classes whose sets are linked.
+
+    One document stands for its class.  So many narrow rows are broadcast if
+    their count allows; else the texts are shuffled to them.
+    """
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    standing = (
+        classes.join(wanted, "cls", "left_semi")
+        .groupBy("cls")
+        .agg(F.min(F.struct("doc_id", "key")).alias("d"))
+        .select(F.col("d.doc_id").alias("id"), F.col("d.key").alias("key"), "cls")
+    )
+    standing = saved(standing, "standing")
+    same = docs["doc_id"].eqNullSafe(standing["id"]) & (F.xxhash64(docs["text"]) == standing["key"])
+    few = standing.count() <= BROADCAST_ROWS
+    texts = docs.join(F.broadcast(standing) if few else standing, same)
+    # A row that is repeated may stand several times.
+    sets = saved(texts.select("cls", _shingles(F.col("text"), words).alias("s")), "sets").dropDuplicates(["cls"])
 
     @F.arrow_udf("boolean")
     def check(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -208,40 +242,42 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             pa.bool_(),
         )
 
-    one = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    size = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    met = pairs.join(one, "a").join(two, "b").filter(size)
-    return met.filter(check(F.col("sa"), F.col("sb"))).select("a", "b")
+    one = sets.select(F.col("cls").alias("a"), F.col("s").alias("sa"))
+    two = sets.select(F.col("cls").alias("b"), F.col("s").alias("sb"))
+    return pairs.join(one, "a").join(two, "b").filter(check(F.col("sa"), F.col("sb"))).select("a", "b")
 
 
 def _close(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in one block that their sketches do not tell apart."""
     share = (100 - percent, 100 + percent)
 
-    def compare(sig: np.ndarray, cls: np.ndarray, comp: np.ndarray, n: np.ndarray, sketches: np.ndarray, lead):
+    def compare(cls: np.ndarray, comp: np.ndarray, n: np.ndarray, lead: np.ndarray, fine: np.ndarray):
+        coarse = fine.reshape(len(fine), -1, shingles.COARSE).sum(axis=2)
         for i in range(len(cls) - 1):
             rest = slice(i + 1, len(cls))
             open_ = (comp[rest] != comp[i]) & (cls[i] != lead[i]) & (cls[rest] != lead[rest])
             open_ &= 100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])
             at = np.flatnonzero(open_) + i + 1
-            if len(at):
-                apart = np.abs(sketches[at] - sketches[i]).sum(axis=1)
-                at = at[apart * share[1] <= (n[at] + n[i]) * share[0]]
+            for sketches in (coarse, fine):
                 if len(at):
-                    yield np.full(len(at), cls[i]), cls[at]
+                    apart = np.abs(sketches[at] - sketches[i]).sum(axis=1)
+                    at = at[apart * share[1] <= (n[at] + n[i]) * share[0]]
+            if len(at):
+                yield np.stack([np.minimum(cls[at], cls[i]), np.maximum(cls[at], cls[i])], axis=1)
 
     def pairs_of(whole: pa.Table) -> Iterator[pa.RecordBatch]:
-        arrays = [whole.column(c).to_numpy() for c in ("block", "cls", "comp", "n", "leader")]
+        block, *arrays = (whole.column(c).to_numpy() for c in ("block", "cls", "comp", "n", "leader"))
         raw = b"".join(x.as_py() for x in whole.column("sketch"))
-        sketches = np.frombuffer(raw, "<i2").astype(np.int32).reshape(-1, shingles.SKETCH)
-        edges = np.flatnonzero(np.diff(arrays[0], prepend=arrays[0][0] - 1, append=arrays[0][-1] + 1))
-        for lo, hi in zip(edges, edges[1:]):
-            block, cls, comp, n, lead = (x[lo:hi] for x in arrays)
-            for a, b in compare(block, cls, comp, n, sketches[lo:hi], lead):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
-                )
+        fine = np.frombuffer(raw, np.uint8).astype(np.int32).reshape(-1, shingles.SKETCH)
+        edges = np.flatnonzero(np.diff(block, prepend=block[0] - 1, append=block[-1] + 1))
+        pairs = [
+            pair
+            for lo, hi in zip(edges, edges[1:])
+            for pair in compare(*(x[lo:hi] for x in arrays), fine[lo:hi])
+        ]
+        if pairs:
+            a, b = np.unique(np.concatenate(pairs), axis=0).T
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -296,24 +332,14 @@ def linked_classes(docs: DataFrame, classes: DataFrame, words: int, percent: int
     """``node`` and ``comp`` for every class that has a link.
 
     ``docs`` has ``doc_id``, ``text``; ``classes`` has ``doc_id``, ``key`` (hash
-    of the text), ``n``, ``cls``.
+    of the text), ``n``, ``cls``, ``sketch``.
     """
     buckets = saved(_buckets(docs.select("text"), words, percent), "buckets")
-    found = saved(_needed(buckets, classes.groupBy("cls").agg(F.first("n").alias("n")), percent), "needed")
-    wanted = found.select("cls").distinct()
-    # One document stands for its class.
-    standing = (
-        classes.join(wanted, "cls", "left_semi")
-        .groupBy("cls")
-        .agg(F.min(F.struct("doc_id", "key")).alias("d"))
-        .select(F.col("d.doc_id").alias("id"), F.col("d.key").alias("key"))
-    )
-    texts = docs.join(
-        standing, docs["doc_id"].eqNullSafe(standing["id"]) & (F.xxhash64(docs["text"]) == standing["key"])
-    )
-    sets = saved(texts.select(_sets(F.col("text"), words).alias("s")).select("s.*").dropDuplicates(["cls"]), "sets")
+    kinds = classes.groupBy("cls").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    found = saved(_needed(buckets, kinds, percent), "needed")
     first = found.filter("cls <> leader").select(F.col("leader").alias("a"), F.col("cls").alias("b")).distinct()
-    links = saved(_linked(first, sets, percent), "links")
+    first = saved(_near(first, kinds, percent), "first_pairs")
+    links = saved(_linked(first, docs, classes, words, percent), "links")
     comps = saved(components(links), "components")
     placed = (
         found.join(comps, found["cls"] == comps["node"], "left")
@@ -329,12 +355,13 @@ def linked_classes(docs: DataFrame, classes: DataFrame, words: int, percent: int
     part = F.pmod(F.xxhash64("cls"), F.col("cuts")).cast("int")
     rows = (
         placed.join(mixed_.select("sig", cuts.alias("cuts")), "sig")
-        .join(sets.select("cls", "n", "sketch"), "cls")
+        .join(kinds, "cls")
         .withColumn("part", part)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
         .withColumn("block", F.xxhash64("sig", F.least("part", "other"), F.greatest("part", "other")))
     )
-    more = _linked(_close(rows, percent), sets, percent)
+    second = saved(_close(rows, percent), "second_pairs")
+    more = _linked(second, docs, classes, words, percent)
     return components(links.unionAll(more))
 
 
@@ -351,7 +378,7 @@ def jaccard_components(
     read = docs.select(column(docs, id).alias("doc_id"), column(docs, text).alias("text"))
     classes = saved(
         read.select("doc_id", F.xxhash64("text").alias("key"), _classes(F.col("text"), words).alias("c")).select(
-            "doc_id", "key", "c.n", "c.cls"
+            "doc_id", "key", "c.n", "c.cls", "c.sketch"
         ),
         "classes",
     )

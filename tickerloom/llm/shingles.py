@@ -14,7 +14,9 @@ import numpy as np
 STRETCH = 1 << 20
 #: Bits of a signature that name its size band.
 BAND_BITS = 7
-SKETCH = 64
+#: Parts of the universe that a sketch counts, and how many of them a coarse look adds up.
+SKETCH = 256
+COARSE = 8
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _SPACE = np.zeros(256, bool)
@@ -93,9 +95,9 @@ def class_of(found: np.ndarray) -> int:
 
 
 def sketch(found: np.ndarray) -> bytes:
-    """Counts of the set in ``SKETCH`` parts of the universe; never further apart than the sets are."""
-    counts = np.bincount((mixed(found) >> np.uint64(58)).astype(np.int64), minlength=SKETCH)
-    return np.minimum(counts, 32_767).astype("<i2").tobytes()
+    """Counts of the set in ``SKETCH`` parts of the universe, cut off at 255; never further apart than the sets are."""
+    counts = np.bincount((mixed(found) >> np.uint64(56)).astype(np.int64), minlength=SKETCH)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
