@@ -130,22 +130,31 @@ def _entries(text: str) -> set[str]:
     return found | stems
 
 
-def _learn_lexicon(toxic: list[set[str]], clean: list[set[str]], max_words: int, min_share: float) -> dict[str, float]:
+def _learn_lexicon(toxic: list[str], clean: list[str], max_words: int, min_share: float) -> dict[str, float]:
     """Words and stems far more frequent in toxic texts, picked greedily by the toxic texts not yet explained.
 
-    The weight is the log odds of a text with the word; a word must be in
-    ``min_share`` of the toxic texts and add as much to those explained.
+    The texts are folded.  The weight is the log odds of a text with the entry;
+    an entry must be in ``min_share`` of the toxic texts and add as much to those
+    explained.  Only entries that can still be picked are kept per text.
     """
-    inside = Counter(word for words in toxic for word in words)
-    outside = Counter(word for words in clean for word in words)
     least = max(2, math.ceil(min_share * len(toxic)))
+    inside = Counter()
+    for text in toxic:
+        inside.update(_entries(text))
+    inside = {entry: n for entry, n in inside.items() if n >= least}
+    outside = Counter()
+    for text in clean:
+        outside.update(entry for entry in _entries(text) if entry in inside)
     weights = {
-        word: math.log((n + 0.5) / (len(toxic) + 1)) - math.log((outside[word] + 0.5) / (len(clean) + 1))
-        for word, n in inside.items()
-        if n >= least
+        entry: math.log((n + 0.5) / (len(toxic) + 1)) - math.log((outside[entry] + 0.5) / (len(clean) + 1))
+        for entry, n in inside.items()
     }
-    weights = {word: w for word, w in weights.items() if w > math.log(8)}
-    texts_of = {word: {i for i, words in enumerate(toxic) if word in words} for word in weights}
+    weights = {entry: w for entry, w in weights.items() if w > math.log(8)}
+    texts_of: dict[str, set[int]] = {entry: set() for entry in weights}
+    for i, text in enumerate(toxic):
+        for entry in _entries(text):
+            if entry in weights:
+                texts_of[entry].add(i)
     found = Counter()
     picked: dict[str, float] = {}
     while len(picked) < max_words and texts_of:
@@ -183,7 +192,7 @@ def fit_toxicity(
     none = ToxicityModel({}, (), (0.0, 0.0), math.log(odds / (1 - odds)))
     if not (side[0] and side[1]):
         return none
-    toxic, clean = ([_entries(fold(text)) for text in side[mark]] for mark in (1, 0))
+    toxic, clean = ([fold(text) for text in side[mark]] for mark in (1, 0))
     lexicon = _learn_lexicon(toxic, clean, max_words, min_share)
     if not lexicon:
         return none
