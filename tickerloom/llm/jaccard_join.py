@@ -34,7 +34,7 @@ from tickerloom.llm.common import column, fresh, saved
 #: Buckets of more classes are searched only by classes that cannot do without.
 COMMON = 32
 #: Keys gathered by a task before equal ones are combined.
-COMBINED = 4_000_000
+COMBINED = 500_000
 #: Classes compared with classes at a time, within one bucket.
 BLOCK = 2048
 #: Documents whose ids and text hashes are broadcast to fetch their texts; more are joined by shuffling.

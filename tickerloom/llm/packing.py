@@ -17,19 +17,22 @@ passes through the driver, and packing is best fit over the whole corpus.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickerloom.llm.common import column, saved
 
 #: Pieces of one length are ranked in buckets of about so many.
 RANKED_TOGETHER = 100_000
 #: Words and parts of words a worker keeps ids of, and the longest it keeps.
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 500_000
 MEMO_CHARS = 64
 #: Characters of text, and then parts of words, that are looked up together.
 CHARS_AT_ONCE = 1 << 20
@@ -156,41 +159,56 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
-_PIECES = pa.list_(pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())]))
-
-
-def token_pieces(text: Column, path: str, capacity: int, end: int = 0) -> Column:
-    """The ids of a text with ``end`` after them, cut into pieces of ``capacity``."""
-    last = np.array([end], "<u4").tobytes()
-
-    @F.arrow_udf("array<struct<piece:int,start:bigint,length:bigint,ids:binary>>")
-    def pieces(texts: pa.Array) -> pa.Array:
-        tokenizer = word_tokenizer(path)
-        rows = []
-        for found in tokenizer.ids_of(texts.to_pylist()):
-            ids = found + last
-            rows.append(
-                [
-                    {"piece": k, "start": k * capacity, "length": len(part) // 4, "ids": part}
-                    for k, part in enumerate(
-                        ids[i : i + 4 * capacity] for i in range(0, len(ids), 4 * capacity)
-                    )
-                ]
-            )
-        return pa.array(rows, _PIECES)
-
-    return pieces(text)
-
-
 def tokenized(
-    docs: DataFrame, path: str, *, text: str = "text", id: str = "doc_id", capacity: int = 2048
+    docs: DataFrame, path: str, *, text: str = "text", id: str = "doc_id", capacity: int = 2048, end: int = 0
 ) -> DataFrame:
     """Per piece ``doc_id``, ``piece``, ``start``, ``length`` and ``ids`` (little-endian unsigned 32-bit).
 
-    A null text is an empty one and gives one piece, the end id alone.
+    A document is its ids with ``end`` after them, cut into pieces of
+    ``capacity``; a null text is an empty one.  The ids of about ``CHARS_AT_ONCE``
+    characters are in memory at a time, besides the batch that was read.
     """
     rows = docs.select(column(docs, id).alias("doc_id"), column(docs, text).alias("text"))
-    return rows.select("doc_id", F.inline(token_pieces(F.col("text"), path, capacity)))
+    last = np.array([end], "<u4").tobytes()
+    step = 4 * capacity
+
+    def cut(doc_ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        found = [ids + last for ids in word_tokenizer(path).ids_of(texts.to_pylist())]
+        of = [k for k, ids in enumerate(found) for _ in range(0, len(ids), step)]
+        parts = [ids[i : i + step] for ids in found for i in range(0, len(ids), step)]
+        number = np.array([i for ids in found for i in range(-(-len(ids) // step))], np.int32)
+        return pa.RecordBatch.from_arrays(
+            [
+                doc_ids.take(pa.array(of, pa.int64())),
+                pa.array(number),
+                pa.array(number.astype(np.int64) * capacity),
+                pa.array([len(part) // 4 for part in parts], pa.int64()),
+                pa.array(parts, pa.binary()),
+            ],
+            names=["doc_id", "piece", "start", "length", "ids"],
+        )
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc_ids, texts = batch.column("doc_id"), batch.column("text")
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < len(texts):
+                done = sizes[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(sizes, done + CHARS_AT_ONCE)))
+                yield cut(doc_ids.slice(at, to - at), texts.slice(at, to - at))
+                at = to
+
+    schema = T.StructType(
+        [
+            rows.schema["doc_id"],
+            T.StructField("piece", T.IntegerType()),
+            T.StructField("start", T.LongType()),
+            T.StructField("length", T.LongType()),
+            T.StructField("ids", T.BinaryType()),
+        ]
+    )
+    return rows.mapInArrow(pieces, schema)
 
 
 @dataclass(frozen=True)
