@@ -44,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their ids and their place in sequences of 2048 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True, forget=True)
 
 
 STAGES = [

@@ -160,13 +160,22 @@ def word_tokenizer(path: str) -> WordTokenizer:
 
 
 def tokenized(
-    docs: DataFrame, path: str, *, text: str = "text", id: str = "doc_id", capacity: int = 2048, end: int = 0
+    docs: DataFrame,
+    path: str,
+    *,
+    text: str = "text",
+    id: str = "doc_id",
+    capacity: int = 2048,
+    end: int = 0,
+    forget: bool = False,
 ) -> DataFrame:
     """Per piece ``doc_id``, ``piece``, ``start``, ``length`` and ``ids`` (little-endian unsigned 32-bit).
 
     A document is its ids with ``end`` after them, cut into pieces of
     ``capacity``; a null text is an empty one.  The ids of about ``CHARS_AT_ONCE``
     characters are in memory at a time, besides the batch that was read.
+    ``forget`` empties the tokenizer's memo after every task, for jobs whose later
+    stages need the workers' memory more than tokenizing needs the time.
     """
     rows = docs.select(column(docs, id).alias("doc_id"), column(docs, text).alias("text"))
     last = np.array([end], "<u4").tobytes()
@@ -198,6 +207,8 @@ def tokenized(
                 to = max(at + 1, int(np.searchsorted(sizes, done + CHARS_AT_ONCE)))
                 yield cut(doc_ids.slice(at, to - at), texts.slice(at, to - at))
                 at = to
+        if forget:
+            word_tokenizer(path).memo = {}
 
     schema = T.StructType(
         [
@@ -365,6 +376,7 @@ def pack_documents(
     id: str = "doc_id",
     capacities: Capacities = Capacities(),
     with_ids: bool = False,
+    forget: bool = False,
 ) -> DataFrame:
     """Per piece ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``; ``ids`` on demand.
 
@@ -373,6 +385,6 @@ def pack_documents(
     an empty one.  Sequence numbers and offsets are the same in every run that
     reads the table in the same splits.
     """
-    found = tokenized(docs, path, text=text, id=id, capacity=capacities.tokens)
+    found = tokenized(docs, path, text=text, id=id, capacity=capacities.tokens, forget=forget)
     found = found.withColumn("ids_crc32", F.crc32("ids"))
     return pack(found if with_ids else found.drop("ids"), capacities)
