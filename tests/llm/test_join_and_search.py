@@ -53,6 +53,16 @@ def test_one_row_of_each_component_stays(spark):
     assert got == sorted([(False, d) for d in want] + [(True, 0)])
 
 
+def test_components_of_one_least_id_all_keep_a_row(spark):
+    """Different texts with null ids, and different texts under one id, are components of their own."""
+    one, two, three = (prose(900 + k, 40) for k in range(3))
+    rows = [(None, one, "a"), (None, two, "b"), (None, two, "b"), (7, prose(910, 40), "a"), (7, prose(911, 40), "b")]
+    rows += [(None, three, "a"), (8, three, "b"), (9, prose(911, 40), "c"), (7, prose(910, 40), "a")]
+    kept = jaccard_join.one_per_component(table(spark, rows))
+    got = sorted(((r.doc_id or 0), r.text) for r in kept.collect())
+    assert got == sorted([(0, one), (0, two), (7, prose(910, 40)), (7, prose(911, 40)), (8, three)])
+
+
 def test_join_of_nothing(spark):
     assert jaccard_join.jaccard_components(table(spark, [])).collect() == []
     assert jaccard_join.one_per_component(table(spark, [])).collect() == []

@@ -365,16 +365,8 @@ def linked_classes(docs: DataFrame, classes: DataFrame, words: int, percent: int
     return components(links.unionAll(more))
 
 
-def jaccard_components(
-    docs: DataFrame, *, text: str = "text", id: str = "doc_id", words: int = 5, percent: int = 80
-) -> DataFrame:
-    """Per row ``doc_id``, ``n_shingles``, ``component_id`` and ``key``, a hash of its text.
-
-    ``component_id`` is the least id reachable by links, the row's own included.
-    Texts without words, null ones too, have no shingles and no links.  Repeated
-    rows are linked; a null id counts only where a component has no other.  Other
-    columns are left out; an empty table gives an empty one.
-    """
+def _rooted(docs: DataFrame, text: str, id: str, words: int, percent: int) -> DataFrame:
+    """Per row ``doc_id``, ``key`` (hash of the text), ``n`` and ``root``, which tells its component; null without words."""
     read = docs.select(column(docs, id).alias("doc_id"), column(docs, text).alias("text"))
     classes = saved(
         read.select("doc_id", F.xxhash64("text").alias("key"), _classes(F.col("text"), words).alias("c")).select(
@@ -383,9 +375,22 @@ def jaccard_components(
         "classes",
     )
     comps = linked_classes(read, classes.filter(F.col("cls").isNotNull()), words, percent)
-    rooted = classes.join(comps, classes["cls"] == comps["node"], "left").select(
+    return classes.join(comps, classes["cls"] == comps["node"], "left").select(
         "doc_id", "key", "n", F.coalesce("comp", "cls").alias("root")
     )
+
+
+def jaccard_components(
+    docs: DataFrame, *, text: str = "text", id: str = "doc_id", words: int = 5, percent: int = 80
+) -> DataFrame:
+    """Per row ``doc_id``, ``n_shingles``, ``component_id`` and ``key``, a hash of its text.
+
+    ``component_id`` is the least id reachable by links, the row's own included.
+    Texts without words, null ones too, have no shingles and no links.  Repeated
+    rows are linked; a null id counts only where a component has no other.  Other
+    columns are left out; an empty table gives an empty one.
+    """
+    rooted = _rooted(docs, text, id, words, percent)
     least = rooted.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("least"))
     joined = rooted.join(least.withColumnRenamed("root", "r"), F.col("root") == F.col("r"), "left")
     return joined.select(
@@ -401,18 +406,22 @@ def one_per_component(
 ) -> DataFrame:
     """The rows, all columns as they are, without all but one of each component.
 
-    The row with the least id stays.  Rows without words all stay.
+    The row with the least id stays, of equal ids the one with the least hash of
+    its text; a null id only where a component has no other.  Components are told
+    apart by their root: several may have the same least id, or null ids alone.
+    Rows without words all stay.
     """
-    found = saved(jaccard_components(docs, text=text, id=id, words=words, percent=percent), "component_rows")
-    own = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("n_shingles") > 0))
-    heads = own.groupBy("component_id").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("rows"))
+    found = saved(_rooted(docs, text, id, words, percent), "component_rows").filter(F.col("root").isNotNull())
+    texts = found.groupBy("root", "doc_id", "key").agg(F.count(F.lit(1)).alias("rows"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "rows")).alias("head")
+    heads = texts.groupBy("root").agg(first).select("head.doc_id", "head.key", "head.rows")
     heads = saved(heads, "component_heads")
     names = [fresh(docs.columns, name) for name in ("_head_id", "_head_key", "_head_rows", "_head_turn")]
     side = heads.toDF(*names[:3])
     hashed = F.xxhash64(column(docs, text))
     kept = docs.join(side, column(docs, id).eqNullSafe(side[names[0]]) & (hashed == side[names[1]]))
     if heads.filter("rows > 1").limit(1).count():
-        # The same id and text more than once, or several null ids: number the rows.
+        # The same id and text more than once: number the rows.
         turn = F.row_number().over(Window.partitionBy(names[0], names[1]).orderBy(F.lit(1)))
         kept = kept.withColumn(names[3], turn).filter(F.col(names[3]) == 1)
     wordless = docs.filter(~F.coalesce(column(docs, text), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
