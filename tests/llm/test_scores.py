@@ -171,6 +171,43 @@ def test_random_strings_are_found_and_words_left_alone(spark):
     assert hits >= 0.8 * len(planted)
 
 
+def test_secrets_joined_to_names_and_in_groups_are_found(spark):
+    rng = random.Random(12)
+    small, large = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    kinds = {
+        "session_key=": lambda: "".join(rng.choices(small, k=24)),
+        "live-": lambda: "".join(rng.choices(small, k=32)),
+        "ENC_KEY=": lambda: "".join(rng.choices(large, k=32)),
+        "": lambda: "-".join("".join(rng.choices("0123456789abcdef", k=k)) for k in (8, 4, 4, 4, 12)),
+    }
+    rows, planted = [], {}
+    for i in range(400):
+        words = prose(i, 60).split(" ") + ["src/main/2024-05-17_report-v2", "getElementByIdentifier", "path/to/some/file_name-here"]
+        if i % 5 == 0:
+            name = list(kinds)[i // 5 % 4]
+            planted[i] = (name, secret := kinds[name]())
+            words.insert(7, name + secret)
+        rows.append((i, " ".join(words), "a"))
+    texts = {i: t for i, t, _ in rows}
+    hits = dict.fromkeys(kinds, 0)
+    for r in secret_scan.find_secrets(table(spark, rows)).collect():
+        for s in (s for s in r.spans if s.kind == secret_scan.KINDS.index("random")):
+            name, secret = planted[r.doc_id]
+            assert texts[r.doc_id][s.start : s.end] in (secret, name + secret)
+            hits[name] += 1
+    assert all(n >= 16 for n in hits.values())  # of 20
+
+
+def test_forms_of_a_run():
+    got = [x[:3] for x in secret_scan.forms("a_key=0123456789-abcdefghij")]
+    assert got == [
+        (0, 27, "a_key=0123456789-abcdefghij"), (0, 27, "akey0123456789abcdefghij"), (6, 27, "0123456789-abcdefghij"),
+        (6, 27, "0123456789abcdefghij"),
+    ]
+    assert [x[:3] for x in secret_scan.forms("=" * 20)] == [(0, 20, "=" * 20)]
+    assert secret_scan.widest([(0, 9), (8, 30), (25, 40), (41, 50), (0, 9), (40, 41)]) == [(8, 30), (40, 41), (41, 50)]
+
+
 def test_randomness_battery():
     rng = random.Random(2)
     hexes = ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(300)]

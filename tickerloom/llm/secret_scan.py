@@ -1,20 +1,27 @@
 """Secret scans by a battery of randomness tests (operator 8).
 
 Fixed patterns give the base spans.  Besides, every long run of key characters
-is a candidate: its encoding is inferred from its characters, and a candidate
-stays only if chi-squared, runs and serial-correlation tests do not contradict
-a random string in that encoding.  How surprising such a run would be in
-ordinary text, where neighbouring characters seldom change between small
-letters, capitals and digits, is its p-value.  Benjamini and Hochberg's
-procedure, applied to each band of lengths over the whole corpus, decides which
-candidates are reported.
+is a candidate, and so are its pieces (see ``forms``), since a name or a path
+may be joined to a secret and a secret may be written in groups: the encoding is
+inferred from the characters, and a candidate stays only if chi-squared, runs
+and serial-correlation tests do not contradict a random string in that encoding.
+How surprising it would be in ordinary text, where neighbouring characters
+seldom change between small letters, capitals and digits, is its p-value.
+Benjamini and Hochberg's procedure, applied to each band of lengths over the
+whole corpus and to all forms tested, decides which candidates are strong enough;
+of those that overlap the widest is reported.
+
+Letters of one case without a digit show no change between kinds, so this null
+hypothesis cannot tell them from a word, and they are never candidates.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,10 +37,15 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+NAMED = re.compile(r"[^=]+")
+STRETCH = re.compile(r"[^=/_-]+")
 _KEYWORDS = ("passw", "secret", "token", "api")
 
 #: Lower ends of the length bands that are decided apart.
 BANDS = (16, 20, 24, 32, 48, 64, 128)
+#: Pieces of up to so many stretches between signs are tested, none longer than it needs to have ``WIDE`` characters.
+GROUPS = 8
+WIDE = 128
 #: p-values are kept as whole numbers of -log10, up to this one.
 TOP = 99
 #: Chance that two neighbours in ordinary text differ in kind, and in a run with digits or signs.
@@ -147,23 +159,78 @@ def looks_random(run: str, size: int) -> bool:
     return True
 
 
-def surprise(run: str) -> int:
-    """-log10, rounded down, of the chance of so many changes of kind in ordinary text; 0 for no candidate."""
+def surprise(run: str, parts: list[str] | None = None) -> int:
+    """-log10, rounded down, of the chance of so many changes of kind in ordinary text; 0 for no candidate.
+
+    With ``parts`` only changes within these count, for ordinary text changes at a sign.
+    """
     found = infer_encoding(run)
     if found is None or not looks_random(run, found[1]):
         return 0
-    kinds = [_GROUP.get(c, 3) for c in run.rstrip("=")]
-    changes = sum(x != y for x, y in zip(kinds, kinds[1:]))
-    p = _binomial_tail(len(kinds) - 1, CHANGES, changes)
+    changes = neighbours = 0
+    for part in parts or [run.rstrip("=")]:
+        kinds = [_GROUP.get(c, 3) for c in part]
+        changes += sum(x != y for x, y in zip(kinds, kinds[1:]))
+        neighbours += len(kinds) - 1
+    p = _binomial_tail(neighbours, CHANGES, changes)
     return TOP if p <= 10.0**-TOP else max(0, math.floor(-math.log10(p)))
 
 
+def forms(run: str) -> Iterator[tuple[int, int, str, list[str] | None]]:
+    """What is tested of a run: start, end, characters and, but for the run as it is, its stretches.
+
+    The run as it is comes first.  Pieces are the run, what is left of it when it
+    is cut at ``=``, and in each of these the rows of stretches between the signs
+    ``/``, ``_`` and ``-``.  Each is tested with its signs and without.
+    """
+    yield 0, len(run), run, None
+    cuts = [m.span() for m in STRETCH.finditer(run)]
+    if not cuts:
+        return
+    pieces = {(0, len(cuts) - 1): None}  # first and last stretch, in the order of the tests
+    named = []
+    for m in NAMED.finditer(run):
+        low = bisect.bisect_left(cuts, (m.start(), 0))
+        high = bisect.bisect_left(cuts, (m.end(), 0)) - 1
+        if low <= high:
+            named.append((low, high))
+            pieces[low, high] = None
+    for low, high in named:
+        for i in range(low, high + 1):
+            size = 0
+            for j in range(i, min(high + 1, i + GROUPS)):
+                size += cuts[j][1] - cuts[j][0]
+                pieces[i, j] = None
+                if size >= WIDE:
+                    break
+    for i, j in pieces:
+        parts = [run[a:b] for a, b in cuts[i : j + 1]]
+        bare = "".join(parts)
+        if len(bare) < BANDS[0]:
+            continue
+        start, end = cuts[i][0], cuts[j][1]
+        if end - start < len(run):
+            yield start, end, run[start:end], parts
+        if end - start > len(bare):
+            yield start, end, bare, parts
+
+
+def widest(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Of spans that overlap only the widest, the first of equally wide ones; in order."""
+    kept: list[tuple[int, int]] = []
+    for start, end in sorted(spans, key=lambda s: (s[0] - s[1], s[0])):
+        at = bisect.bisect_left(kept, (end, 0))
+        if not at or kept[at - 1][1] <= start:
+            kept.insert(at, (start, end))
+    return kept
+
+
 def band_of(length: int) -> int:
     return sum(length >= low for low in BANDS) - 1
 
 
 def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]], list[int]]:
-    """Base spans (start, kind, end), candidates (start, end, band, surprise) and runs tested per band."""
+    """Base spans (start, kind, end), candidates (start, end, band, surprise) and forms tested per band."""
     base: list[tuple[int, int, int]] = []
     candidates: list[tuple[int, int, int, int]] = []
     tested = [0] * len(BANDS)
@@ -177,10 +244,13 @@ def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
             start, end = m.span()
             if end - start >= 24:
                 base += [(start + h.start(), 2, start + h.end()) for h in HEX.finditer(m.group())]
-            band = band_of(end - start)
-            tested[band] += 1
-            if strength := surprise(m.group()):
-                candidates.append((start, end, band, strength))
+            for low, high, tried, parts in forms(m.group()):
+                band = band_of(len(tried))
+                tested[band] += 1
+                if strength := surprise(tried, parts):
+                    candidates.append((start + low, start + high, band, strength))
+                    if strength == TOP and high - low == end - start:
+                        break  # always strong enough, and nothing is wider
         base.sort()
     return base, candidates, tested
 
@@ -225,7 +295,7 @@ def needed_strength(found: DataFrame, rate: float) -> DataFrame:
     """Per band the least surprise that keeps the false-discovery rate below ``rate``.
 
     A table of at most ``len(BANDS)`` rows from counts over all documents: with
-    m runs tested and R candidates of at least a surprise of t, t suffices if
+    m forms tested and R candidates of at least a surprise of t, t suffices if
     10^-t <= rate * R / m.
     """
     tested = found.select(F.posexplode("tested").alias("band", "n")).groupBy("band").agg(F.sum("n").alias("m"))
@@ -249,11 +319,20 @@ def needed_strength(found: DataFrame, rate: float) -> DataFrame:
     )
 
 
-def _of_band(band: Column, least: dict[int, int]) -> Column:
-    needed = F.lit(TOP + 1)
-    for k, value in least.items():
-        needed = F.when(band == k, value).otherwise(needed)
-    return needed
+def _chosen(candidates: Column, least: dict[int, int]) -> Column:
+    """The widest of the candidates that are strong enough."""
+
+    @F.arrow_udf("array<struct<start:bigint,end:bigint>>")
+    def found(rows: pa.Array) -> pa.Array:
+        chosen = []
+        for row in rows:
+            strong = [
+                (c["start"], c["end"]) for c in row.as_py() if c["strength"] >= least.get(c["band"], TOP + 1)
+            ]
+            chosen.append([{"start": s, "end": e} for s, e in widest(strong)])
+        return pa.array(chosen, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+
+    return found(candidates)
 
 
 def _joined(spans: Column) -> Column:
@@ -271,7 +350,8 @@ def find_secrets(
 
     Offsets are code points of the whole text.  Null and empty texts have no
     spans; repeated rows and null ids stay; other columns are left out; an empty
-    table gives an empty one.  A candidate equal to a base span is not repeated.
+    table gives an empty one.  Of overlapping candidates the widest is reported; one
+    equal to a base span is not repeated.
     """
     found = saved(
         docs.select(column(docs, id).alias("doc_id"), _scanned(column(docs, text)).alias("f")).select(
@@ -280,9 +360,8 @@ def find_secrets(
         "secret_candidates",
     )
     least = {row["band"]: row["least"] for row in needed_strength(found, rate).collect()}  # one per band
-    strong = F.filter("candidates", lambda c: c["strength"] >= _of_band(c["band"], least))
     extra = F.transform(
-        strong,
+        "chosen",
         lambda c: F.struct(
             c["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"), c["end"].alias("end")
         ),
@@ -290,7 +369,8 @@ def find_secrets(
     new = F.filter(
         extra, lambda s: ~F.exists("base", lambda b: (b["start"] == s["start"]) & (b["end"] == s["end"]))
     )
-    return found.select("doc_id", "base", F.concat("base", new).alias("spans"))
+    chosen = found.select("doc_id", "base", _chosen(F.col("candidates"), least).alias("chosen"))
+    return chosen.select("doc_id", "base", F.concat("base", new).alias("spans"))
 
 
 def secret_digest(secrets: DataFrame) -> DataFrame:
