@@ -51,6 +51,14 @@ def test_line_runs_against_plain_version(spark):
     assert sum(gone > 0 for _, gone in got.values()) > 10
 
 
+def test_a_run_that_repeats_a_later_place_of_its_lines_is_cut(spark):
+    """The lines of every document are the first one's, in another order for the last two only."""
+    lines = prose(1, 120).split("\n")
+    rows = [(1, "\n".join(lines), "a"), (2, "\n".join(lines[::-1]), "a"), (3, "\n".join(lines[::-1]), "a")]
+    found = {r.doc_id: r.text for r in line_dedup.dedup_lines(table(spark, rows)).collect()}
+    assert found == {1: rows[0][1], 2: rows[1][1], 3: ""}
+
+
 def test_line_runs_on_awkward_rows(spark):
     found = line_dedup.dedup_lines(table(spark)).collect()
     assert len(found) == len(awkward_texts())

@@ -1,16 +1,19 @@
-"""Line deduplication by winnowing (operator 4).
+"""Line deduplication by windows of whole lines (operator 4).
 
 A document is read as the sequence of hashes of its lines that hold a word.  A
 window is a shortest run of lines with at least ``min_words`` words, from each
-line forwards and from each line backwards.  The least line hash of every window
-is kept as a fingerprint, so any run of that many words that two places share
-has a fingerprint in common: the least hash depends on the run alone.
-
-Positions of equal fingerprints are joined and the match is extended both ways:
-the lines before and after the fingerprint, out to both ends of its window, must
-be the same as in an earlier place, for which their hash goes into the join key
-next to the fingerprint.  Overlapping matched windows make the repeated run.  Its
-lines are deleted everywhere but in the first place (by document id, then
+line forwards and from each line backwards.  Every window is written, with the
+least of its line hashes (``f``) and a hash of all of them (``g``).
+
+This is not winnowing: the least hashes select nothing, and windows are matched
+on ``g``, of which ``f`` follows.  Winnowing would keep one place for each least
+hash, join places by it and extend a match line by line.  Extended against the
+first place alone, a run would be missed whose lines occurred before, but not
+there: a line often stands in several surroundings.  Extended against all
+places, a common line would give pairs in the square of its places.  Hashes of
+whole windows are grouped instead, so each surrounding has a first place of its
+own and no pairs are made.  Overlapping matched windows make the repeated run.
+Its lines are deleted everywhere but in the first place (by document id, then
 position).
 
 So a line goes exactly if it lies in a run of at least ``min_words`` words that
