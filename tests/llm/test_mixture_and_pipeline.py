@@ -69,6 +69,14 @@ def test_one_slice_is_sorted_only(spark, monkeypatch):
         _check(rows, mixture.mix(table(spark, rows)).collect())
 
 
+def test_slices_are_narrow_for_any_weight(spark):
+    rows = [(i, "## ## ## ## " + str(i) if i % 3 else prose(i, 20), "ab"[i % 2]) for i in range(6000)]
+    keyed = mixture.keyed_documents(table(spark, rows), text="text", id="doc_id", source="source", seed=42)
+    sizes = keyed.groupBy("source", mixture._slice(keyed["key"]).alias("slice")).count()
+    assert max(r["count"] for r in sizes.collect()) <= 15  # of 3000, 1.1 expected at most
+    _check(rows, mixture.mix(table(spark, rows)).collect())
+
+
 def test_mix_of_awkward_rows_and_nothing(spark):
     docs = table(spark)
     found = mixture.mix(docs).collect()

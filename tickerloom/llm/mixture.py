@@ -8,7 +8,9 @@ That order is a weighted sample without replacement of any length.
 
 The order is not computed by sorting a source.  Sums of words per source and
 slice of the key range tell in which slice the budget runs out; only the
-documents of that slice are sorted.
+documents of that slice are sorted.  Slices are equal parts of the logarithm of
+the key: the weight only shifts it, so whatever the weights, no slice is expected
+to hold more than a share of 1 / (e * ``SLICES``) of a source's distinct texts.
 """
 
 from __future__ import annotations
@@ -19,7 +21,10 @@ from pyspark.sql import functions as F
 from tickerloom.llm.common import column, fresh, saved
 from tickerloom.llm.quality_rules import GAPS, SPACES, SYMBOLS
 
+#: Slices per unit of the logarithm of the key.
 SLICES = 1024
+#: Below all slices.
+NO_SLICE = -(2**31)
 #: A plan of at most so many sources is broadcast; a larger one is joined by shuffling.
 BROADCAST_SOURCES = 100_000
 
@@ -44,7 +49,7 @@ def sampling_key(id: Column, text: Column, weight: Column, seed: int) -> Column:
 
 
 def _slice(key: Column) -> Column:
-    return F.floor((F.lit(1.0) - F.exp(-key)) * SLICES).cast("int")
+    return F.floor(F.log(key) * SLICES).cast("int")
 
 
 def source_targets(sizes: DataFrame, shares: tuple[int, ...], max_epochs: int) -> DataFrame:
@@ -93,7 +98,7 @@ def mixture_plan(keyed: DataFrame, *, shares: tuple[int, ...] = (1, 2, 3), max_e
     targets = targets.withColumn("epochs", F.least(epochs, F.lit(max_epochs)).cast("long")).withColumn(
         "rest", F.greatest(F.col("target") - F.col("epochs") * F.col("source_size"), F.lit(0.0))
     )
-    # At most SLICES rows per source.
+    # Keys lie between e^-37 and e^4 over the least weight: some ten thousand rows per source.
     upto = F.sum("words").over(Window.partitionBy("source").orderBy("slice"))
     cuts = (
         slices.withColumn("upto", upto)
@@ -127,7 +132,7 @@ def mixture_plan(keyed: DataFrame, *, shares: tuple[int, ...] = (1, 2, 3), max_e
         "source_size",
         "target",
         "epochs",
-        F.coalesce(F.col("c.slice"), F.lit(0)).alias("cut_slice"),
+        F.coalesce(F.col("c.slice"), F.lit(NO_SLICE)).alias("cut_slice"),
         F.coalesce("cut_key", F.lit(-1.0)).alias("cut_key"),
     )
 
