@@ -8,7 +8,7 @@ import re
 import pytest
 
 from tests.llm.helpers import awkward_texts, prose, table
-from tickerloom.llm import compression, secret_scan, toxicity
+from tickerloom.llm import common, compression, secret_scan, toxicity
 
 TOXIC_WORDS = ["idiot", "moron", "vilescum"]
 
@@ -115,6 +115,21 @@ def test_conflicting_and_repeated_labels(spark):
     assert "idiot" in toxicity.fit_toxicity(docs, noisy).lexicon
 
 
+def test_repeated_ids_bring_few_rows_to_the_driver(spark, monkeypatch):
+    ids = [i for i in range(40) if not _held_out(i)][:12]
+    rows = [(i, prose(i, 20), 1, i % 2) for i in ids]
+    many = [(ids[0], prose(1000 + k, 20), "a") for k in range(60)] + [(ids[1], prose(ids[1], 20), "a")] * 60
+    docs, labels = _labelled(spark, rows)
+    docs = docs.unionAll(table(spark, many))
+    brought = []
+    frame = type(docs)
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: brought.append(collect(self)) or brought[-1])
+    sample, _ = common.labelled_sample(docs, labels, "toxic", 100, 65_536)
+    assert max(map(len, brought)) <= common.TEXTS_PER_ID * len(ids)
+    assert {prose(i, 20) for i in ids[1:]} < {text for text, _ in sample} and len(sample) == len(ids) + 1
+
+
 def _base(text):
     """The base spans by their definition."""
     text = text or ""

@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickerloom.scratch import saved
@@ -14,6 +14,10 @@ from tickerloom.scratch import saved
 __all__ = ["column", "fit_logistic", "fresh", "is_held_out", "labelled_sample", "saved", "sigmoid", "table"]
 
 
+#: Distinct texts of one id that are examples.
+TEXTS_PER_ID = 2
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -48,9 +52,11 @@ def labelled_sample(
 
     Only ids that are not held out take part, and of these at most
     ``rows_per_class`` per label, picked by a hash of the id; texts over
-    ``max_bytes`` are passed over.  So at most
-    ``2 * rows_per_class * max_bytes`` bytes come to the driver.  An id with two
-    different labels is no example.
+    ``max_bytes`` are passed over.  Of an id that repeats, the ``TEXTS_PER_ID``
+    distinct texts with the least hashes count.  So at most
+    ``2 * rows_per_class * TEXTS_PER_ID * max_bytes`` bytes come to the driver,
+    however often ids and texts repeat.  An id with two different labels is no
+    example.
     """
     marks = (
         labels.select(F.col("doc_id"), F.col(label).cast("int").alias("mark"))
@@ -69,7 +75,10 @@ def labelled_sample(
         picked = some if picked is None else picked.unionAll(some)
     texts = docs.select("doc_id", F.col("text")).filter(F.octet_length("text") <= max_bytes)
     # 2 * rows_per_class narrow rows: a bounded broadcast.
-    rows = texts.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "mark").collect()
+    found = texts.join(F.broadcast(picked), "doc_id").withColumn("hash", F.xxhash64("text"))
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("hash"))
+    few = found.dropDuplicates(["doc_id", "hash"]).withColumn("turn", turn).filter(F.col("turn") <= TEXTS_PER_ID)
+    rows = few.select("doc_id", "text", "mark").collect()
     first: dict[str, tuple[int, int]] = {}
     for doc_id, text, mark in sorted(rows):
         first.setdefault(text, (doc_id, mark))
