@@ -8,7 +8,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import compression, jaccard_join, line_dedup, mixture, multi_index, packing, quality_rules, secret_scan, token_counts, toxicity
+from tickerloom.llm import (
+    compression,
+    jaccard_join,
+    line_dedup,
+    mixture,
+    multi_index,
+    packing,
+    quality_rules,
+    secret_scan,
+    spelling,
+    token_counts,
+    toxicity,
+)
 from tickerloom.llm.common import table
 
 
@@ -60,6 +72,10 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.quality_scores(docs, model)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -73,6 +89,7 @@ QUERIES = {
         op8_secret_spans,
         op9_source_mixture,
         op10_compression_quality,
+        op12_spelling_variants,
     )
 }
 

@@ -37,8 +37,12 @@ SAMPLE_CHARS = 64
 CELL = 32_768
 BLOCK = 65_536
 PART = 100_000
-#: Words in a leaf of a block's own tree, and vector entries compared at a time.
+#: Queries of a block that are answered together; fewer if they are long.
+ASKED = 65_536
+#: Words in a leaf of a block's own tree; more have equal vectors, and beyond the second number variants are looked up.
 LEAF = 16
+LOOKED_UP = 256
+#: Letters compared at a time.
 AT_ONCE = 1 << 23
 
 _LOWER = {upper: upper + 32 for upper in range(65, 91)}
@@ -240,7 +244,7 @@ class Block:
         right: list[np.ndarray] = []
         for leaf, some in self.tree.reached(rows, int(equal), 1):
             held = self.tree.leaves[leaf]
-            if len(held) > LEAF or codes.shape[1] * len(held) > AT_ONCE:
+            if len(held) > LOOKED_UP or codes.shape[1] * len(held) > AT_ONCE:
                 for query in some:
                     found = self._one_by_one(leaf, held, queries[query], rows[query])
                     left.append(np.full(len(found), query))
@@ -335,9 +339,51 @@ def _routed(words: DataFrame, trees: dict[int, Tree]) -> DataFrame:
     )
 
 
+def _met(block: Block, counts: np.ndarray, queries: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Near pairs, both ways, of a block's words and of queries to it."""
+    rows = pa.Table.from_batches(queries)
+    words = np.array(rows.column("word").to_pylist(), object)
+    chars = np.array([len(word) for word in words])
+    own_counts, home = rows.column("n").to_numpy(), rows.column("home").to_numpy()
+    names = np.array(block.words, object)
+    for size in np.unique(chars):
+        same = np.flatnonzero(chars == size)
+        step = max(1, AT_ONCE // int(size))
+        for at in range(0, len(same), step):
+            own = same[at : at + step]
+            a, b = block.near(words[own].tolist())
+            a = own[a]
+            left, right = words[a], names[b]
+            once = ~home[a] | (left < right)  # in its own cell a pair is met from both sides
+            left, right, n, m = left[once], right[once], own_counts[a][once], counts[b][once]
+            if len(left):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([left, right]), pa.string()),
+                        pa.array(np.concatenate([right, left]), pa.string()),
+                        pa.array(np.concatenate([m, n]), pa.int64()),
+                    ],
+                    names=["word", "near", "near_n"],
+                )
+
+
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Near pairs, both ways, from rows sorted by cell, block and part, entries before queries."""
-    key, held, block = None, [], None
+    key, size = None, 0
+    held: list[pa.RecordBatch] = []
+    asked: list[pa.RecordBatch] = []
+    block = None
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        nonlocal block, size
+        if asked and held:
+            if block is None:
+                n = np.concatenate([x.column("n").to_numpy() for x in held])
+                block = Block([word for x in held for word in x.column("word").to_pylist()]), n
+            yield from _met(*block, asked)
+        asked.clear()
+        size = 0
+
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -348,39 +394,17 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = [0, *np.flatnonzero(turn).tolist(), len(cell)]
         for lo, hi in zip(edges, edges[1:]):
             if key != (now := (cell[lo], number[lo], part[lo])):
+                yield from flush()
                 key, held, block = now, [], None
             rows = batch.slice(lo, hi - lo)
             if not query[lo]:
                 held.append(rows)
                 continue
-            if not held:
-                continue
-            if block is None:
-                n = np.concatenate([x.column("n").to_numpy() for x in held])
-                block = Block([word for x in held for word in x.column("word").to_pylist()]), n
-            words = np.array(rows.column("word").to_pylist(), object)
-            chars = np.array([len(word) for word in words])
-            counts, home = rows.column("n").to_numpy(), rows.column("home").to_numpy(zero_copy_only=False)
-            for size in np.unique(chars):
-                same = np.flatnonzero(chars == size)
-                step = max(1, AT_ONCE // int(size))
-                for at in range(0, len(same), step):
-                    own = same[at : at + step]
-                    a, b = block[0].near(words[own].tolist())
-                    if not len(a):
-                        continue
-                    a = own[a]
-                    left, right = words[a], np.array(block[0].words, object)[b]
-                    once = ~home[a] | (left < right)  # in its own cell a pair is met from both sides
-                    left, right, n, m = left[once], right[once], counts[a][once], block[1][b][once]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.concatenate([left, right]), pa.string()),
-                            pa.array(np.concatenate([right, left]), pa.string()),
-                            pa.array(np.concatenate([m, n]), pa.int64()),
-                        ],
-                        names=["word", "near", "near_n"],
-                    )
+            asked.append(rows)
+            size += len(rows) * max(1, int(cell[lo] >> 24) // SAMPLE_CHARS)
+            if size >= ASKED:
+                yield from flush()
+    yield from flush()
 
 
 def near_words(
@@ -427,7 +451,10 @@ def near_words(
             "n",
         )
     )
-    met = laid.repartition("cell", "block", "part").sortWithinPartitions("cell", "block", "part", "query")
+    # So many tasks that few groups share one, as their work goes by queries rather than bytes.
+    groups = cells.agg(F.sum(F.col("blocks") * F.col("parts"))).first()[0] or 1
+    tasks = min(groups, 4 * int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    met = laid.repartition(tasks, "cell", "block", "part").sortWithinPartitions("cell", "block", "part", "query")
     return met.mapInArrow(_searched, "word string, near string, near_n bigint")
 
 
