@@ -20,6 +20,8 @@ from tickerloom.llm import (
     spelling,
     token_counts,
     toxicity,
+    warc,
+    whitening,
 )
 from tickerloom.llm.common import table
 
@@ -72,10 +74,18 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.quality_scores(docs, model)
 
 
+def op11_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.normalised_pages(table(spark, sf_dir, "pages"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variant_groups(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -89,7 +99,9 @@ QUERIES = {
         op8_secret_spans,
         op9_source_mixture,
         op10_compression_quality,
+        op11_warc_members,
         op12_spelling_variants,
+        op13_whitening,
     )
 }
 
@@ -97,6 +109,18 @@ _STOP_WORDS = ", ".join(f"'{word}'" for word in quality_rules.STOP_WORDS)
 _SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_warc_members": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+        ),
+        m AS (
+            SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY payload) END AS head FROM p
+        )
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+               CASE WHEN head > coalesce(page_id, head - 1) THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN head > coalesce(page_id, head - 1) THEN head END AS refers_to
+        FROM m
+    """,
     "op7_jaccard_join": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
