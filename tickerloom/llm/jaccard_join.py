@@ -13,9 +13,12 @@ left out of them, since any link of it has an equal segment elsewhere.
 Links are found in two rounds, so that a bucket is never expanded into pairs.
 First every class is checked against one leader of its bucket, and linked
 classes are joined into components.  Then, in buckets that hold several
-components, classes of different components are compared by sketches that bound
-the difference from below, in blocks, and the pairs left are checked.  All
-checks are exact, on whole sets (of 64-bit hashes of shingles).
+components, sketches that bound the difference from below tell which classes may
+be linked to a class of another component; the sets of these alone are sent to
+the bucket and checked there.  A link joins two components at once, so a bucket
+passes on fewer links than it has members, and a pair that meets in several
+buckets is checked in one.  All checks are exact, on whole sets (of 64-bit hashes
+of shingles); blocks are cut by the bytes of their sets.
 """
 
 from __future__ import annotations
@@ -35,8 +38,13 @@ from tickerloom.llm.common import column, fresh, saved
 COMMON = 32
 #: Keys gathered by a task before equal ones are combined.
 COMBINED = 500_000
-#: Classes compared with classes at a time, within one bucket.
+#: Classes compared with classes at a time, within one bucket, and the hashes that their sets may have together.
 BLOCK = 2048
+BLOCK_HASHES = 1 << 20
+#: Buckets that a class names, to tell in which of them a pair is checked.
+NAMED = 64
+#: Bytes of sets that leave Python together.
+BYTES_AT_ONCE = 4 << 20
 #: Documents whose ids and text hashes are broadcast to fetch their texts; more are joined by shuffling.
 BROADCAST_ROWS = 500_000
 
@@ -60,14 +68,29 @@ def _classes(text: Column, words: int) -> Column:
     return found(text)
 
 
-def _shingles(text: Column, words: int) -> Column:
-    """The shingle set as bytes."""
+def _sets(texts: DataFrame, words: int) -> DataFrame:
+    """``cls`` and the shingle set ``s``, as bytes, for rows of ``cls`` and ``text``."""
 
-    @F.arrow_udf("binary")
-    def found(texts: pa.Array) -> pa.Array:
-        return pa.array([shingles.shingle_set(text.as_py(), words).tobytes() for text in texts], pa.binary())
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes: list[int] = []
+        sets: list[bytes] = []
+        size = 0
 
-    return found(text)
+        def lot() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.array(sets, pa.binary())], names=["cls", "s"])
+
+        for batch in batches:
+            for cls, text in zip(batch.column(0), batch.column(1)):
+                classes.append(cls.as_py())
+                sets.append(shingles.shingle_set(text.as_py(), words).tobytes())
+                size += len(sets[-1])
+                if size >= BYTES_AT_ONCE:
+                    yield lot()
+                    classes, sets, size = [], [], 0
+        if classes:
+            yield lot()
+
+    return texts.select("cls", "text").mapInArrow(made, "cls bigint, s binary")
 
 
 def _combined(keys: np.ndarray, classes: np.ndarray) -> pa.RecordBatch:
@@ -149,13 +172,10 @@ def _buckets(texts: DataFrame, words: int, percent: int) -> DataFrame:
             F.struct(F.col("sig").alias("sig"), F.col("member").alias("cls")),
         )
     )
-    listed = met.select(F.inline(members)).repartition("sig").dropDuplicates(["sig", "cls"])
-    bucket = Window.partitionBy("sig")
-    return (
-        listed.withColumn("cnt", F.count(F.lit(1)).over(bucket))
-        .withColumn("leader", F.min("cls").over(bucket))
-        .filter("cnt > 1")
-    )
+    listed = saved(met.select(F.inline(members)).distinct(), "bucket_members")
+    # Combined within tasks first: a bucket may hold any share of the classes.
+    sizes = listed.groupBy("sig").agg(F.count(F.lit(1)).alias("cnt"), F.min("cls").alias("leader")).filter("cnt > 1")
+    return listed.join(saved(sizes, "bucket_sizes"), "sig")
 
 
 def _needed(buckets: DataFrame, kinds: DataFrame, percent: int) -> DataFrame:
@@ -209,98 +229,152 @@ def _near(pairs: DataFrame, kinds: DataFrame, percent: int) -> DataFrame:
     two = kinds.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     size = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     met = pairs.join(one, "a").join(two, "b").filter(size)
-    return met.filter(check(F.col("na"), F.col("nb"), F.col("sa"), F.col("sb"))).select("a", "b")
+    return met.filter(check(F.col("na"), F.col("nb"), F.col("sa"), F.col("sb"))).select("a", "b", F.col("nb").alias("n"))
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` of classes whose sets are linked.
+def _with_sets(rows: DataFrame, docs: DataFrame, heads: DataFrame, words: int) -> DataFrame:
+    """``rows``, which have ``cls``, with the shingle set ``s`` of their class.
 
     One document stands for its class.  So many narrow rows are broadcast if
     their count allows; else the texts are shuffled to them.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    standing = (
-        classes.join(wanted, "cls", "left_semi")
-        .groupBy("cls")
-        .agg(F.min(F.struct("doc_id", "key")).alias("d"))
-        .select(F.col("d.doc_id").alias("id"), F.col("d.key").alias("key"), "cls")
+    standing = saved(
+        heads.join(rows.select("cls").distinct(), "cls", "left_semi").select(
+            F.col("head.doc_id").alias("id"), F.col("head.key").alias("key"), "cls"
+        ),
+        "standing",
     )
-    standing = saved(standing, "standing")
+    count = standing.count()
     same = docs["doc_id"].eqNullSafe(standing["id"]) & (F.xxhash64(docs["text"]) == standing["key"])
-    few = standing.count() <= BROADCAST_ROWS
-    texts = docs.join(F.broadcast(standing) if few else standing, same)
-    # A row that is repeated may stand several times.
-    sets = saved(texts.select("cls", _shingles(F.col("text"), words).alias("s")), "sets").dropDuplicates(["cls"])
-
-    @F.arrow_udf("boolean")
-    def check(left: pa.Array, right: pa.Array) -> pa.Array:
-        return pa.array(
-            [
-                shingles.linked(np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64), percent)
-                for a, b in zip(left, right, strict=True)
-            ],
-            pa.bool_(),
-        )
-
-    one = sets.select(F.col("cls").alias("a"), F.col("s").alias("sa"))
-    two = sets.select(F.col("cls").alias("b"), F.col("s").alias("sb"))
-    return pairs.join(one, "a").join(two, "b").filter(check(F.col("sa"), F.col("sb"))).select("a", "b")
+    texts = docs.join(F.broadcast(standing) if count <= BROADCAST_ROWS else standing, same)
+    sets = saved(_sets(texts, words), "sets")
+    if sets.count() > count:
+        sets = saved(sets.dropDuplicates(["cls"]), "sets")  # a row that is repeated stands several times
+    return rows.join(sets, "cls")
+
+
+def _led(pairs: DataFrame, docs: DataFrame, heads: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of the pairs ``a`` (a leader), ``b`` with size ``n`` those whose sets are linked."""
+    pairs = saved(pairs, "led_pairs")
+    # A leader's members are dealt over blocks by the size of their sets; its own set goes to each block once.
+    parts = saved(
+        pairs.groupBy("a").agg(F.ceil(F.sum("n") / BLOCK_HASHES).cast("int").alias("parts")), "led_parts"
+    )
+    dealt = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+    members = dealt.select("a", "part", F.col("b").alias("cls"), F.lit(1).alias("turn"))
+    leaders = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("cls"))
+    rows = saved(members.unionAll(leaders.withColumn("turn", F.lit(0))), "led_rows")
 
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leader, lead = None, None
+        for batch in batches:
+            found: list[int] = []
+            by: list[int] = []
+            for a, cls, turn, held in zip(*(batch.column(c) for c in ("a", "cls", "turn", "s"))):
+                one = np.frombuffer(held.as_buffer(), np.uint64)
+                if not turn.as_py():
+                    leader, lead = a.as_py(), one.copy()
+                elif leader == a.as_py() and shingles.linked(lead, one, percent):
+                    found.append(cls.as_py())
+                    by.append(leader)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(by, pa.int64()), pa.array(found, pa.int64())], names=["a", "b"])
+
+    whole = _with_sets(rows, docs, heads, words).select("a", "part", "turn", "cls", "s")
+    return (
+        whole.repartition("a", "part").sortWithinPartitions("a", "part", "turn").mapInArrow(check, "a bigint, b bigint")
+    )
 
-def _close(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in one block that their sketches do not tell apart."""
-    share = (100 - percent, 100 + percent)
 
-    def compare(cls: np.ndarray, comp: np.ndarray, n: np.ndarray, lead: np.ndarray, fine: np.ndarray):
-        coarse = fine.reshape(len(fine), -1, shingles.COARSE).sum(axis=2)
-        for i in range(len(cls) - 1):
-            rest = slice(i + 1, len(cls))
-            open_ = (comp[rest] != comp[i]) & (cls[i] != lead[i]) & (cls[rest] != lead[rest])
-            open_ &= 100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])
-            at = np.flatnonzero(open_) + i + 1
-            for sketches in (coarse, fine):
-                if len(at):
-                    apart = np.abs(sketches[at] - sketches[i]).sum(axis=1)
-                    at = at[apart * share[1] <= (n[at] + n[i]) * share[0]]
+class _Block:
+    """Classes that meet in one block, and which pairs of them are open."""
+
+    def __init__(self, table: pa.Table, percent: int):
+        self.sig = table.column("sig")[0].as_py()
+        self.cls, self.comp, self.n = (table.column(c).to_numpy() for c in ("cls", "comp", "n"))
+        self.own_part, self.other = (table.column(c).to_numpy() for c in ("part", "other"))
+        raw = b"".join(x.as_py() for x in table.column("sketch"))
+        self.fine = np.frombuffer(raw, np.uint8).astype(np.int32).reshape(-1, shingles.SKETCH)
+        self.coarse = self.fine.reshape(len(self.fine), -1, shingles.COARSE).sum(axis=2)
+        self.lead = table.column("leader").to_numpy()
+        self.named = [x.as_py() for x in table.column("named")]
+        self.percent = percent
+
+    def open(self, i: int, rest: np.ndarray) -> np.ndarray:
+        """The classes among ``rest`` that may be linked to the i-th, and don't meet it in a bucket before this one."""
+        share = (100 - self.percent, 100 + self.percent)
+        n = self.n
+        # Two blocks of a bucket hold a pair of one part twice: it counts where the part meets itself.
+        at = rest[(self.own_part[rest] != self.own_part[i]) | (self.own_part[i] == self.other[i])]
+        at = at[(self.cls[i] != self.lead[i]) & (self.cls[at] != self.lead[at])]
+        at = at[100 * np.minimum(n[at], n[i]) >= self.percent * np.maximum(n[at], n[i])]
+        for sketches in (self.coarse, self.fine):
             if len(at):
-                yield np.stack([np.minimum(cls[at], cls[i]), np.maximum(cls[at], cls[i])], axis=1)
-
-    def pairs_of(whole: pa.Table) -> Iterator[pa.RecordBatch]:
-        block, *arrays = (whole.column(c).to_numpy() for c in ("block", "cls", "comp", "n", "leader"))
-        raw = b"".join(x.as_py() for x in whole.column("sketch"))
-        fine = np.frombuffer(raw, np.uint8).astype(np.int32).reshape(-1, shingles.SKETCH)
-        edges = np.flatnonzero(np.diff(block, prepend=block[0] - 1, append=block[-1] + 1))
-        pairs = [
-            pair
-            for lo, hi in zip(edges, edges[1:])
-            for pair in compare(*(x[lo:hi] for x in arrays), fine[lo:hi])
-        ]
-        if pairs:
-            a, b = np.unique(np.concatenate(pairs), axis=0).T
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                apart = np.abs(sketches[at] - sketches[i]).sum(axis=1)
+                at = at[apart * share[1] <= (n[at] + n[i]) * share[0]]
+        earlier = {sig for sig in self.named[i] if sig < self.sig}
+        return np.array([j for j in at.tolist() if earlier.isdisjoint(self.named[j])], np.int64) if earlier else at
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one block at a time, of rows sorted by ``block``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        blocks = batch.column("block").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+        if held and held[-1].column("block")[0].as_py() != blocks[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        for lo, hi in zip(edges, edges[1:]):
+            held.append(batch.slice(lo, hi - lo))
+            if hi < len(blocks):
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _open(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows of blocks whose class may be linked to one of another component, once each."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            table = pa.Table.from_batches(held)
-            blocks = table.column("block").to_numpy()
-            done = int(np.searchsorted(blocks, blocks[-1]))
-            if done:  # the last block may go on in the next batch
-                yield from pairs_of(table.slice(0, done))
-                held = table.slice(done).combine_chunks().to_batches()
-        if held:
-            yield from pairs_of(pa.Table.from_batches(held))
+        for table in _by_block(batches):
+            block = _Block(table, percent)
+            marked = np.zeros(len(block.cls), bool)
+            for i in range(len(block.cls) - 1):
+                rest = np.arange(i + 1, len(block.cls))
+                found = block.open(i, rest[block.comp[rest] != block.comp[i]])
+                if len(found):
+                    marked[i] = True
+                    marked[found] = True
+            if marked.any():
+                yield from table.filter(pa.array(marked)).combine_chunks().to_batches()
 
-    return (
-        rows.select("block", "cls", "comp", "n", "leader", "sketch")
-        .repartition("block")
-        .sortWithinPartitions("block")
-        .mapInArrow(scan, "a bigint, b bigint")
-        .distinct()
-    )
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(scan, rows.schema)
+
+
+def _joined(rows: DataFrame, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` that join all linked components of a block; ``rows`` have the set ``s`` as well."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_block(batches):
+            block = _Block(table, percent)
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("s")]
+            comp = block.comp.copy()
+            links: list[tuple[int, int]] = []
+            for i in range(len(sets) - 1):
+                rest = np.arange(i + 1, len(sets))
+                for j in block.open(i, rest[comp[rest] != comp[i]]).tolist():
+                    if comp[i] != comp[j] and shingles.linked(sets[i], sets[j], percent):
+                        links.append((int(block.cls[i]), int(block.cls[j])))
+                        comp[comp == comp[j]] = comp[i]
+            if links:
+                a, b = np.array(links, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(scan, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -328,18 +402,17 @@ def components(edges: DataFrame) -> DataFrame:
     return nodes.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
-def linked_classes(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+def linked_classes(docs: DataFrame, kinds: DataFrame, words: int, percent: int) -> DataFrame:
     """``node`` and ``comp`` for every class that has a link.
 
-    ``docs`` has ``doc_id``, ``text``; ``classes`` has ``doc_id``, ``key`` (hash
-    of the text), ``n``, ``cls``, ``sketch``.
+    ``docs`` has ``doc_id``, ``text``; ``kinds`` has per class ``cls``, ``n``,
+    ``sketch`` and ``head``, a document's ``doc_id`` and ``key``.
     """
+    sketched, heads = kinds.select("cls", "n", "sketch"), kinds.select("cls", "head")
     buckets = saved(_buckets(docs.select("text"), words, percent), "buckets")
-    kinds = classes.groupBy("cls").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    found = saved(_needed(buckets, kinds, percent), "needed")
+    found = saved(_needed(buckets, sketched, percent), "needed")
     first = found.filter("cls <> leader").select(F.col("leader").alias("a"), F.col("cls").alias("b")).distinct()
-    first = saved(_near(first, kinds, percent), "first_pairs")
-    links = saved(_linked(first, docs, classes, words, percent), "links")
+    links = saved(_led(_near(first, sketched, percent), docs, heads, words, percent), "links")
     comps = saved(components(links), "components")
     placed = (
         found.join(comps, found["cls"] == comps["node"], "left")
@@ -350,34 +423,58 @@ def linked_classes(docs: DataFrame, classes: DataFrame, words: int, percent: int
         .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("members"))
         .filter("lo <> hi AND members > 2")
     )
-    # A bucket of more than BLOCK classes is compared block by block.
-    cuts = F.ceil(F.col("members") / BLOCK).cast("int")
+    held = saved(placed.join(mixed_.select("sig", "members"), "sig").join(sketched, "cls"), "mixed_buckets")
+    # A bucket of many classes, or of large ones, is compared block by block.
+    cuts = held.groupBy("sig").agg(
+        F.ceil(F.greatest(F.max("members") / BLOCK, F.sum("n") / BLOCK_HASHES)).cast("int").alias("cuts")
+    )
+    named = held.groupBy("cls").agg(F.slice(F.sort_array(F.collect_list("sig")), 1, NAMED).alias("named"))
     part = F.pmod(F.xxhash64("cls"), F.col("cuts")).cast("int")
     rows = (
-        placed.join(mixed_.select("sig", cuts.alias("cuts")), "sig")
-        .join(kinds, "cls")
+        held.join(saved(cuts, "bucket_cuts"), "sig")
+        .join(saved(named, "named_buckets"), "cls")
         .withColumn("part", part)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
         .withColumn("block", F.xxhash64("sig", F.least("part", "other"), F.greatest("part", "other")))
+        .select("block", "sig", "cls", "comp", "n", "leader", "part", "other", "sketch", "named")
     )
-    second = saved(_close(rows, percent), "second_pairs")
-    more = _linked(second, docs, classes, words, percent)
+    open_ = saved(_open(rows, percent), "open_classes")
+    more = _joined(_with_sets(open_, docs, heads, words), percent)
     return components(links.unionAll(more))
 
 
-def _rooted(docs: DataFrame, text: str, id: str, words: int, percent: int) -> DataFrame:
-    """Per row ``doc_id``, ``key`` (hash of the text), ``n`` and ``root``, which tells its component; null without words."""
+def _classed(docs: DataFrame, text: str, id: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows and their classes.
+
+    Rows have ``doc_id``, ``key`` (hash of the text), ``n`` and ``cls``, null
+    without words.  Classes have ``cls``, ``root``, which tells its component, and
+    ``head``: the least id of the component, its key, and how often they occur.
+    """
     read = docs.select(column(docs, id).alias("doc_id"), column(docs, text).alias("text"))
-    classes = saved(
+    rows = saved(
         read.select("doc_id", F.xxhash64("text").alias("key"), _classes(F.col("text"), words).alias("c")).select(
             "doc_id", "key", "c.n", "c.cls", "c.sketch"
         ),
         "classes",
     )
-    comps = linked_classes(read, classes.filter(F.col("cls").isNotNull()), words, percent)
-    return classes.join(comps, classes["cls"] == comps["node"], "left").select(
-        "doc_id", "key", "n", F.coalesce("comp", "cls").alias("root")
+    texts = rows.groupBy("cls", "doc_id", "key").agg(
+        F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+    )
+    head = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "rows")
+    kinds = saved(
+        texts.filter(F.col("cls").isNotNull())
+        .groupBy("cls")
+        .agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(head).alias("head")),
+        "kinds",
+    )
+    comps = saved(linked_classes(read, kinds, words, percent), "linked_classes")
+    linked = comps.join(kinds.select(F.col("cls").alias("node"), "head"), "node")
+    low = saved(linked.groupBy("comp").agg(F.min("head").alias("low")), "linked_heads")
+    linked = saved(comps.join(low, "comp"), "linked_classes")
+    labels = kinds.join(linked, kinds["cls"] == linked["node"], "left").select(
+        "cls", F.coalesce("comp", "cls").alias("root"), F.coalesce("low", "head").alias("head")
     )
+    return rows.drop("sketch"), saved(labels, "class_labels")
 
 
 def jaccard_components(
@@ -390,13 +487,13 @@ def jaccard_components(
     rows are linked; a null id counts only where a component has no other.  Other
     columns are left out; an empty table gives an empty one.
     """
-    rooted = _rooted(docs, text, id, words, percent)
-    least = rooted.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("least"))
-    joined = rooted.join(least.withColumnRenamed("root", "r"), F.col("root") == F.col("r"), "left")
+    rows, labels = _classed(docs, text, id, words, percent)
+    # A class of very many copies is a hot key here; its label is one row, so adaptive execution can split it.
+    joined = rows.join(labels.withColumnRenamed("cls", "c"), F.col("cls") == F.col("c"), "left")
     return joined.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
+        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"),
         "key",
     )
 
@@ -407,22 +504,22 @@ def one_per_component(
     """The rows, all columns as they are, without all but one of each component.
 
     The row with the least id stays, of equal ids the one with the least hash of
-    its text; a null id only where a component has no other.  Components are told
-    apart by their root: several may have the same least id, or null ids alone.
-    Rows without words all stay.
+    its text, of rows equal in both the first by all columns written as JSON; a
+    null id only where a component has no other.  Components are told apart by
+    their root: several may have the same least id, or null ids alone.  Rows
+    without words all stay; an empty table gives an empty one.
     """
-    found = saved(_rooted(docs, text, id, words, percent), "component_rows").filter(F.col("root").isNotNull())
-    texts = found.groupBy("root", "doc_id", "key").agg(F.count(F.lit(1)).alias("rows"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "rows")).alias("head")
-    heads = texts.groupBy("root").agg(first).select("head.doc_id", "head.key", "head.rows")
-    heads = saved(heads, "component_heads")
+    _, labels = _classed(docs, text, id, words, percent)
+    heads = saved(labels.groupBy("root").agg(F.first("head").alias("head")).select("head.doc_id", "head.key", "head.rows"), "component_heads")
     names = [fresh(docs.columns, name) for name in ("_head_id", "_head_key", "_head_rows", "_head_turn")]
     side = heads.toDF(*names[:3])
     hashed = F.xxhash64(column(docs, text))
     kept = docs.join(side, column(docs, id).eqNullSafe(side[names[0]]) & (hashed == side[names[1]]))
     if heads.filter("rows > 1").limit(1).count():
-        # The same id and text more than once: number the rows.
-        turn = F.row_number().over(Window.partitionBy(names[0], names[1]).orderBy(F.lit(1)))
-        kept = kept.withColumn(names[3], turn).filter(F.col(names[3]) == 1)
+        whole = F.to_json(F.struct(*(column(kept, name) for name in docs.columns)))
+        once = kept.filter(F.col(names[2]) == 1)
+        turn = F.row_number().over(Window.partitionBy(names[0], names[1]).orderBy(whole))
+        several = kept.filter(F.col(names[2]) > 1).withColumn(names[3], turn).filter(F.col(names[3]) == 1)
+        kept = once.unionAll(several.drop(names[3]))
     wordless = docs.filter(~F.coalesce(column(docs, text), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
     return kept.select(*(column(kept, name) for name in docs.columns)).unionAll(wordless)
