@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickerloom.scratch import saved
 
-__all__ = ["column", "fit_logistic", "fresh", "is_held_out", "labelled_sample", "saved", "sigmoid", "table"]
+__all__ = ["column", "fit_logistic", "fresh", "give_back", "is_held_out", "labelled_sample", "saved", "sigmoid", "table"]
 
 
 #: Distinct texts of one id that are examples.
@@ -86,6 +89,16 @@ def labelled_sample(
     return sample, (counts.get(1, 0) / total if total else 0.5)
 
 
+def give_back() -> None:
+    """Returns a worker's free memory to the machine: workers live on from stage to stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def sigmoid(x: float) -> float:
     return 1 / (1 + math.exp(-max(-40.0, min(40.0, x))))
 

@@ -17,6 +17,7 @@ passes through the driver, and packing is best fit over the whole corpus.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,18 +28,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickerloom.llm.common import column, saved
+from tickerloom.llm.common import column, give_back, saved
 
 #: Pieces of one length are ranked in buckets of about so many.
 RANKED_TOGETHER = 100_000
 #: Words and parts of words a worker keeps ids of, and the longest it keeps.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 800_000
 MEMO_CHARS = 64
 #: Characters of text, and then parts of words, that are looked up together.
 CHARS_AT_ONCE = 1 << 20
 PARTS_AT_ONCE = 200
 
 # Fixed value: how the tokenizer file cuts lower-case text; a file with another pattern is used as a whole.
+_SIGNS = ".,;:!?"
+_PLAIN = bytes([*range(0x09, 0x0E), *range(0x20, 0x7F)])
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -49,9 +52,11 @@ class WordTokenizer:
     apart.  Blanks always cut.  Text of Latin letters and plain signs, which
     normalising leaves alone, is therefore looked up word by word in a bounded
     memo, and only new parts go to the library; any other text goes there whole.
+    The memo has two halves: a full one becomes the old one, and words in use move
+    on to the new one.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_entries: int = MEMO_ENTRIES):
         import json
 
         import regex
@@ -73,8 +78,9 @@ class WordTokenizer:
         )
         self.special = [token["content"] for token in made.get("added_tokens", [])]
         self.parts = regex.compile(_PATTERN)
-        self.beyond = regex.compile("[^\t-\r\x20-\x7e\xa0-\u012f\u0131-\u024f\u2010-\u2026\u20ac]")
-        self.memo: dict[str, bytes] = {}  # a part is a word, too, and has the same ids
+        self.beyond = re.compile("[^\t-\r\x20-\x7e\xa0-\u012f\u0131-\u024f\u2010-\u2026\u20ac]")
+        self.memo_entries = memo_entries
+        self.forget()
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -98,33 +104,52 @@ class WordTokenizer:
             out += [ids[i:j] for i, j in zip(edges, edges[1:])]
         return out
 
+    def forget(self) -> None:
+        self.memo: dict[str, bytes] = {}  # a part is a word, too, and has the same ids
+        self.old: dict[str, bytes] = {}
+
+    def _cut(self, word: str) -> list[str]:
+        if word.isalpha():
+            return [word]
+        # A plain sign after a word of letters, which is most of what isn't letters alone.
+        if word[-1:] in _SIGNS and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
+        return self.parts.findall(word)
+
     def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words that the memo does not have; it keeps them and their parts."""
-        memo = self.memo
-        # A word of letters alone is one part.
-        cut = {word: self.parts.findall(word) for word in words if not word.isalpha()}
-        new = {word for word in words if word not in cut}
-        new.update(part for parts in cut.values() for part in parts if part not in memo)
-        order = sorted(new)
-        found = dict(zip(order, self._encoded_parts(order), strict=True))
+        """Ids of words that the newer half of the memo does not have; it keeps them and their parts."""
+        memo, old = self.memo, self.old
+        found = {word: old[word] for word in words if word in old}
+        cut = {word: self._cut(word) for word in words if word not in found}
+        order = sorted({part for parts in cut.values() for part in parts if part not in memo and part not in old})
+        found.update(zip(order, self._encoded_parts(order), strict=True))
         for word, parts in cut.items():
-            found[word] = b"".join([found[part] if part in new else memo[part] for part in parts])
-        if len(memo) + len(found) > MEMO_ENTRIES:
-            memo = self.memo = {}
-        memo.update((word, ids) for word, ids in found.items() if len(word) <= MEMO_CHARS)
+            if word not in found:
+                found[word] = b"".join([found.get(part) or memo.get(part) or old[part] for part in parts])
+        if len(memo) + len(found) > self.memo_entries // 2:
+            self.old, self.memo = memo, {}
+        self.memo.update((word, ids) for word, ids in found.items() if len(word) <= MEMO_CHARS)
         return found
 
     def _look_up(self, split: list[tuple[int, list[str]]], out: list[bytes]) -> None:
-        memo = self.memo
-        known = memo
-        new = [word for word in set().union(*(words for _, words in split)) if word not in memo]
+        known = self.memo
+        new = [word for word in set().union(*(words for _, words in split)) if word not in known]
         if new:
             found = self._learn(new)
-            if self.memo is not memo or any(len(word) > MEMO_CHARS for word in new):
-                known = memo | found  # the memo was emptied, or does not keep them all
+            if self.memo is not known or any(len(word) > MEMO_CHARS for word in new):
+                known = known | found  # the memo begins anew, or does not keep them all
         for at, words in split:
             out[at] = b"".join(map(known.__getitem__, words))
 
+    def _plain(self, text: str) -> bool:
+        """Whether normalising leaves the text alone, but for case, and no special token is in it."""
+        if text.isascii():
+            if text.encode().translate(None, _PLAIN):
+                return False
+        elif self.beyond.search(text):
+            return False
+        return not any(token in text for token in self.special)
+
     def ids_of(self, texts: list[str | None]) -> list[bytes]:
         """The ids of every text; null has none."""
         out = [b""] * len(texts)
@@ -133,7 +158,7 @@ class WordTokenizer:
         for at, text in enumerate(texts):
             if not text:
                 continue
-            if not self.by_word or self.beyond.search(text) or any(token in text for token in self.special):
+            if not self.by_word or not self._plain(text):
                 out[at] = self._encoded([text])[0]
                 continue
             split.append((at, text.lower().split()))
@@ -152,10 +177,11 @@ class WordTokenizer:
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
-def word_tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer per worker process and file."""
+def word_tokenizer(path: str, memo_entries: int = MEMO_ENTRIES) -> WordTokenizer:
+    """One tokenizer per worker process and file, with a memo as the caller wants it."""
     if path not in _tokenizers:
         _tokenizers[path] = WordTokenizer(path)
+    _tokenizers[path].memo_entries = memo_entries
     return _tokenizers[path]
 
 
@@ -167,6 +193,7 @@ def tokenized(
     id: str = "doc_id",
     capacity: int = 2048,
     end: int = 0,
+    memo_entries: int = MEMO_ENTRIES,
     forget: bool = False,
 ) -> DataFrame:
     """Per piece ``doc_id``, ``piece``, ``start``, ``length`` and ``ids`` (little-endian unsigned 32-bit).
@@ -174,15 +201,15 @@ def tokenized(
     A document is its ids with ``end`` after them, cut into pieces of
     ``capacity``; a null text is an empty one.  The ids of about ``CHARS_AT_ONCE``
     characters are in memory at a time, besides the batch that was read.
-    ``forget`` empties the tokenizer's memo after every task, for jobs whose later
-    stages need the workers' memory more than tokenizing needs the time.
+    ``memo_entries`` bounds the tokenizer's memo, and ``forget`` gives it up after
+    every task, for jobs that need the workers' memory more than the time.
     """
     rows = docs.select(column(docs, id).alias("doc_id"), column(docs, text).alias("text"))
     last = np.array([end], "<u4").tobytes()
     step = 4 * capacity
 
     def cut(doc_ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
-        found = [ids + last for ids in word_tokenizer(path).ids_of(texts.to_pylist())]
+        found = [ids + last for ids in word_tokenizer(path, memo_entries).ids_of(texts.to_pylist())]
         of = [k for k, ids in enumerate(found) for _ in range(0, len(ids), step)]
         parts = [ids[i : i + step] for ids in found for i in range(0, len(ids), step)]
         number = np.array([i for ids in found for i in range(-(-len(ids) // step))], np.int32)
@@ -208,7 +235,8 @@ def tokenized(
                 yield cut(doc_ids.slice(at, to - at), texts.slice(at, to - at))
                 at = to
         if forget:
-            word_tokenizer(path).memo = {}
+            _tokenizers.pop(path, None)
+            give_back()
 
     schema = T.StructType(
         [
@@ -376,6 +404,7 @@ def pack_documents(
     id: str = "doc_id",
     capacities: Capacities = Capacities(),
     with_ids: bool = False,
+    memo_entries: int = MEMO_ENTRIES,
     forget: bool = False,
 ) -> DataFrame:
     """Per piece ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``; ``ids`` on demand.
@@ -385,6 +414,8 @@ def pack_documents(
     an empty one.  Sequence numbers and offsets are the same in every run that
     reads the table in the same splits.
     """
-    found = tokenized(docs, path, text=text, id=id, capacity=capacities.tokens, forget=forget)
+    found = tokenized(
+        docs, path, text=text, id=id, capacity=capacities.tokens, memo_entries=memo_entries, forget=forget
+    )
     found = found.withColumn("ids_crc32", F.crc32("ids"))
     return pack(found if with_ids else found.drop("ids"), capacities)
