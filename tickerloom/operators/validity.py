@@ -18,7 +18,10 @@ with the assets where these can be broadcast.  A key with more rows than a task
 should take is laid out over a grid of quote parts and window parts in which
 every pair meets once.  Which keys those are only decides where rows go, so they
 are found in a sample large enough to show them; they are kept as a table, any
-number of them, split into any number of parts.
+number of them, split into any number of parts.  A row's part goes by its number
+in the input, taken before the first shuffle here: a task that is run again after
+a lost executor may get the rows of a shuffle in another order, but not with
+other numbers.
 """
 
 from __future__ import annotations
@@ -50,6 +53,7 @@ KEY_ROW_BYTES = 200
 SPAN_BITS = 3  # spans grow by 2^3, from one day to 8^8 days, past the year 9999
 SPAN_STEPS = 9
 KEY = ("asset", "_span", "_slot")
+ROW = "_validity_row"  # a row's number in its input
 FIXED_SIZE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
@@ -155,22 +159,25 @@ def _heavy_keys(side: DataFrame, key: tuple[str, ...], rows_per_task: int, name:
     return counts.select(*key, F.ceil(F.col("rows") / share).cast("int").alias(name))
 
 
+def _numbered(side: DataFrame) -> DataFrame:
+    """``side`` with ``ROW``, the row's number in its input, unless it has one; to be taken before any shuffle."""
+    return side if ROW in side.columns else side.withColumn(ROW, F.monotonically_increasing_id())
+
+
 def _spread(side: DataFrame, heavy: DataFrame, key: tuple[str, ...], own: str, other: str) -> DataFrame:
-    """Give each row one part of its own side and copies for the parts of the other.
+    """Give each numbered row one part of its own side and copies for the parts of the other.
 
-    The part is a hash of the row's number within its input: rows that are equal
-    in everything go to different parts, and a recomputed task, which reads its
-    split in the same order, repeats it.
+    The part is a hash of the row's number: rows that are equal in everything go
+    to different parts, and a recomputed task repeats it.
     """
-    part = F.pmod(F.xxhash64("_row"), F.col(f"_{own}_parts")).cast("int")
+    part = F.pmod(F.xxhash64(ROW), F.col(f"_{own}_parts")).cast("int")
     copies = F.sequence(F.lit(0), F.col(f"_{other}_parts") - 1)
     return (
-        side.withColumn("_row", F.monotonically_increasing_id())
-        .join(heavy, on=list(key), how="left")
+        side.join(heavy, on=list(key), how="left")
         .fillna(1, subset=["_quote_parts", "_window_parts"])
         .withColumn(f"_{own}", part)
         .withColumn(f"_{other}", F.explode(copies))
-        .drop("_quote_parts", "_window_parts", "_row")
+        .drop("_quote_parts", "_window_parts", ROW)
     )
 
 
@@ -180,8 +187,10 @@ def _spread_heavy_keys(
     """Split heavy keys over a grid of quote parts x window parts, exactly once per pair.
 
     There are at most rows / ``rows_per_task`` heavy keys a side.  They are
-    broadcast if their count allows, else joined by shuffling.
+    broadcast if their count allows, else joined by shuffling.  Sides that come
+    out of a shuffle must have been numbered before it.
     """
+    quotes, windows = _numbered(quotes), _numbered(windows)
     left = _heavy_keys(quotes, key, rows_per_task, "_quote_parts")
     right = _heavy_keys(windows, key, rows_per_task, "_window_parts")
     heavy = left.join(right, list(key), "full").fillna(1, subset=["_quote_parts", "_window_parts"])
@@ -209,7 +218,9 @@ def validity_join(
 
     Overlapping windows and repeated members multiply rows.  The result has the
     quote columns, ``date``, and the member columns but ``asset``; a member
-    column whose name is taken gets the suffix ``_range``.
+    column whose name is taken gets the suffix ``_range``.  With windows too large
+    for a broadcast, inputs that come out of a shuffle of the caller's should be
+    written first: a row's number is as repeatable as its input.
     """
     require_columns(quotes, "asset")
     dated = with_quote_day(quotes)
@@ -222,6 +233,9 @@ def validity_join(
         dated = dated.where(F.col("date").between(first, last))
     fits = size.fits(broadcast_bytes)
     assets_fit = size.assets * KEY_ROW_BYTES <= BROADCAST_BYTES
+    columns_of = dated.columns, windows.columns
+    if not fits:
+        dated, windows = _numbered(dated), _numbered(windows)
     if size.few:
         left, right, key = dated, windows.where(F.col("asset").isNotNull()), ("asset",)
         if not fits and assets_fit:
@@ -240,9 +254,9 @@ def validity_join(
     inside = F.col("q.date").between(F.col("m.start"), F.col("m.end"))
     joined = left.join(right, reduce(lambda a, b: a & b, same_key) & inside, "inner")
 
-    taken = {name.lower() for name in dated.columns}
-    columns = [F.col(f"q.{quoted(name)}") for name in dated.columns]
-    for name in windows.columns:
+    taken = {name.lower() for name in columns_of[0]}
+    columns = [F.col(f"q.{quoted(name)}") for name in columns_of[0]]
+    for name in columns_of[1]:
         if name != "asset":
             shown = f"{name}_range" if name.lower() in taken else name
             columns.append(F.col(f"m.{quoted(name)}").alias(shown))
