@@ -1,18 +1,20 @@
 """Index portfolio files."""
 
+import gzip
 from datetime import date
 
 import pytest
 
 import tickerloom as tl
 from tests.helpers import SAMPLE_PERIOD, SAMPLE_PORTFOLIO, rows, write_text
+from tickerloom.sources import listing
 
-START, END = date(2024, 1, 1), date(2024, 3, 31)
+START, END = date(2033, 2, 1), date(2033, 5, 30)
 
 
 def test_tickers_and_blank_lines(spark, tmp_path):
     path = write_text(tmp_path / "p.csv", SAMPLE_PORTFOLIO)
-    table = tl.scan_portfolio(spark, str(path), START, END)
+    table = tl.scan_portfolio(spark, str(path), START, END, infer_types=True)
     assert table.columns == ["asset", "start", "end", "Peso", "Codigo"]
     assert rows(table.select("asset", "Peso", "start", "end").orderBy("Peso")) == [
         ("MARE3", 1, START, END), ("SOLA4", 3, START, END), ("FOZ11", 6, START, END), ("LUMI3", 9, START, END),
@@ -29,13 +31,13 @@ def test_marks_inside_quotes_do_not_separate(spark, tmp_path):
 @pytest.mark.parametrize("mark", [",", ";", "\t", " ", ":"])
 def test_delimiters(spark, tmp_path, mark):
     path = write_text(tmp_path / "p.csv", f"Peso{mark}Código\n10{mark}PETR4\n")
-    table = tl.scan_portfolio(spark, str(path), START, END)
+    table = tl.scan_portfolio(spark, str(path), START, END, infer_types=True)
     assert rows(table.select("asset", "Peso")) == [("PETR4", 10)]
 
 
 def test_first_delimiter_of_the_list_wins(spark, tmp_path):
     path = write_text(tmp_path / "p.csv", "Codigo,Qtde Teorica,Part %\nPETR4,4347501920,4.8429\n")
-    table = tl.scan_portfolio(spark, str(path), START, END)
+    table = tl.scan_portfolio(spark, str(path), START, END, infer_types=True)
     assert rows(table.select("asset", "`Qtde Teorica`", "`Part %`")) == [
         ("PETR4", 4347501920, 4.8429)
     ]
@@ -86,7 +88,7 @@ def test_mixed_headers(spark, tmp_path):
     write_text(tmp_path / "IBOV_2024-01-02_2024-04-02.csv", "Codigo,Tipo,Peso\r\nPETR4,PN,3\r\n")
     write_text(tmp_path / "IBOV_2024-05-02_2024-08-02.csv", "Codigo;Peso;Extra.1\nVALE3;alto;2\n")
     write_text(tmp_path / "IBOV_2024-09-02_2024-12-02.csv", "Codigo;Peso;Extra.1\nITUB4;5;\n")
-    table = tl.scan_members(spark, str(tmp_path))
+    table = tl.scan_members(spark, str(tmp_path), infer_types=True)
     assert sorted(rows(table.select("asset", "Tipo", "Peso", "`Extra.1`")), key=str) == [
         ("ITUB4", None, "5", None), ("PETR4", "PN", "3", None), ("VALE3", None, "alto", 2),
     ]
@@ -94,10 +96,30 @@ def test_mixed_headers(spark, tmp_path):
 
 def test_text_only_scan(spark, tmp_path):
     write_text(tmp_path / "IBOV_2024-01-02_2024-04-02.csv", "Codigo,Peso\nPETR4,03\n")
-    table = tl.scan_members(spark, str(tmp_path), infer_types=False)
+    table = tl.scan_members(spark, str(tmp_path))
     assert rows(table.select("asset", "Peso")) == [("PETR4", "03")]
 
 
+def test_headers_are_read_alone(spark, tmp_path, monkeypatch):
+    """No Spark job runs before the table is used; a compressed part and an empty one are read as well."""
+    folder = tmp_path / "IBOV_2033-02-01_2033-05-30.csv"
+    folder.mkdir()
+    (folder / "part-0.csv.gz").write_bytes(gzip.compress(b"\n \nCodigo;Peso\nSOLA4;3\n"))
+    write_text(folder / "part-1.csv", "Codigo;Peso\nLUMI3;4\n")
+    write_text(folder / "part-2.csv", "")
+    write_text(folder / "below" / "part-3.csv", "Codigo\nNORD3\n")
+    seen = listing.first_lines(spark, [str(folder / name) for name in ("part-0.csv.gz", "part-1.csv", "part-2.csv")])
+    assert seen == ["Codigo;Peso", "Codigo;Peso", None]
+    monkeypatch.setattr(type(spark.read), "text", None)
+    found = tl.scan_members(spark, str(tmp_path))
+    assert sorted(rows(found.select("asset", "Peso"))) == [("LUMI3", "4"), ("SOLA4", "3")]
+
+
+def test_listing_needs_a_classic_session():
+    with pytest.raises(RuntimeError, match="Connect"):
+        listing.entries(object(), "/tmp")
+
+
 @pytest.mark.parametrize(
     ("files", "kind"),
     [
@@ -120,7 +142,7 @@ def test_part_files(spark, tmp_path):
     write_text(folder / "part-0.csv", "Codigo,Peso\nPETR4,3\n")
     write_text(folder / "part-1.csv", "Codigo,Peso\nVALE3,4\n")
     write_text(folder / "_SUCCESS", "")
-    table = tl.scan_members(spark, str(tmp_path / "with blank"))
+    table = tl.scan_members(spark, str(tmp_path / "with blank"), infer_types=True)
     assert sorted(rows(table.select("asset", "start", "Peso"))) == [
         ("PETR4", date(2024, 1, 2), 3), ("VALE3", date(2024, 1, 2), 4),
     ]

@@ -7,15 +7,13 @@ import re
 from collections import defaultdict
 from datetime import date
 from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerloom.functions.text import normalize_asset, normalize_label, quoted
-from tickerloom.sources.listing import entry_names, path_missing
+from tickerloom.sources.listing import Entry, entries, first_lines
 
 log = logging.getLogger(__name__)
 
@@ -42,32 +40,26 @@ def _delimiter(header: str) -> str:
     return next((mark for mark in DELIMITERS if mark in bare), ",")
 
 
-def _headers(lines: DataFrame, unit: Column) -> dict[str, list[str]]:
-    """Portfolios by header line: one small row each, however many part files they have.
+def _headers(spark: SparkSession, portfolios: list[Entry]) -> dict[str, list[str]]:
+    """Paths of portfolios by header line; of a folder of part files, all must have the same.
 
-    The start of a file lies in a single split, so the smallest running row
-    number there is its first line.
+    Of every file only the start is read.  A portfolio without a header is left out.
     """
-    files = (
-        lines.select(
-            unit.alias("unit"),
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-            "value",
-        )
-        .where((F.col("block") == 0) & (F.trim("value") != ""))
-        .groupBy("unit", "path")
-        .agg(F.min_by("value", "row").alias("header"))
-    )
-    portfolios = files.groupBy("unit").agg(
-        F.min("header").alias("header"), F.max("header").alias("other")
-    )
+    files = [
+        (unit.path, part.path)
+        for unit in portfolios
+        for part in (entries(spark, unit.path) if unit.folder else [unit])
+        if not (part.folder or part.length == 0)
+    ]
+    seen: dict[str, set[str]] = defaultdict(set)
+    for (unit, _), header in zip(files, first_lines(spark, [path for _, path in files]), strict=True):
+        if header is not None:
+            seen[unit].add(header)
     groups: dict[str, list[str]] = defaultdict(list)
-    for row in portfolios.orderBy("unit").collect():
-        if row["header"] != row["other"]:
-            raise ValueError(f"part files of {row['unit']} have different headers")
-        groups[row["header"]].append(row["unit"])
+    for unit, headers in sorted(seen.items()):
+        if len(headers) > 1:
+            raise ValueError(f"part files of {unit} have different headers")
+        groups[headers.pop()].append(unit)
     return groups
 
 
@@ -121,17 +113,15 @@ def _union_by_name(tables: list[DataFrame]) -> DataFrame:
 
 
 def scan_portfolio(
-    spark: SparkSession, path: str, start: date, end: date, infer_types: bool = True
+    spark: SparkSession, path: str, start: date, end: date, infer_types: bool = False
 ) -> DataFrame:
-    """One portfolio file: ``asset, start, end`` and the file's own columns."""
+    """One portfolio file: ``asset, start, end`` and the file's own columns, as text unless types are inferred."""
     _check_period(start, end)
-    try:
-        lines = spark.read.text(path)
-    except AnalysisException as error:
-        if path_missing(error):
-            raise FileNotFoundError(f"no portfolio file at {path}") from error
-        raise
-    headers = _headers(lines, F.lit(path))
+    folder, _, name = path.rstrip("/").rpartition("/")
+    found = entries(spark, folder or "/", name) if folder or path.startswith("/") else entries(spark, ".", name)
+    if not found:
+        raise FileNotFoundError(f"no portfolio file at {path}")
+    headers = _headers(spark, found)
     if not headers:
         raise ValueError(f"portfolio file {path} is empty")
     (header,) = headers
@@ -148,39 +138,32 @@ def _named_period(unit: str) -> tuple[date, date] | None:
     return start, end
 
 
-def scan_members(spark: SparkSession, directory: str, infer_types: bool = True) -> DataFrame:
+def scan_members(spark: SparkSession, directory: str, infer_types: bool = False) -> DataFrame:
     """All portfolio files of a directory, one row per asset and validity period.
 
     The period comes from the file name (or from the directory name, for a
     portfolio written by Spark as part files), the delimiter from the header.
-    Files with the same header are read by one scan.  Names that do not fit are
-    skipped with a warning.  ``infer_types=False`` keeps the files' own columns
-    as text and saves a pass over them.
+    Files with the same header are read by one scan, and only once: the files' own
+    columns are text.  ``infer_types`` types them, at the price of a pass over
+    them.  Names that do not fit are skipped with a warning.
     """
     root = directory.rstrip("/")
     unit = F.regexp_replace("_metadata.file_path", PART_FILE, "$1")
-    found = entry_names(spark, root, PORTFOLIO_FILES)
+    found = entries(spark, root, PORTFOLIO_FILES)
     if found is None:
         raise FileNotFoundError(f"no portfolio directory {directory}")
-    named = set()
-    for name in found:  # one per portfolio, however many part files it has
-        if _named_period(f"/{name}") is None:
-            log.warning("skipping %s: no validity period in its name", f"{root}/{name}")
+    named = []
+    for entry in found:
+        if _named_period(f"/{entry.name}") is None:
+            log.warning("skipping %s: no validity period in its name", f"{root}/{entry.name}")
         else:
-            named.add(name)
+            named.append(entry)
     if not named:
         return spark.createDataFrame([], EMPTY_SCHEMA)
-    # Part files lie in folders of portfolios, which are no partitions of a table.
-    lines = spark.read.option("recursiveFileLookup", "true").text(f"{root}/{PORTFOLIO_FILES}")
-
-    # Spark gives these paths URL-encoded.
-    headers = {
-        header: [unquote(path) for path in paths]
-        for header, paths in _headers(lines.where(unit.rlike(PORTFOLIO_NAME)), unit).items()
-    }
-    read = {path.rsplit("/", 1)[-1] for paths in headers.values() for path in paths}
-    if named - read:
-        raise ValueError(f"portfolios without a header: {sorted(named - read)}")
+    headers = _headers(spark, named)
+    missing = {entry.path for entry in named}.difference(*headers.values())
+    if missing:
+        raise ValueError(f"portfolios without a header: {sorted(path.rsplit('/', 1)[-1] for path in missing)}")
 
     start, end = (F.regexp_extract(unit, PORTFOLIO_NAME, group).cast("date") for group in (1, 2))
     return _union_by_name(

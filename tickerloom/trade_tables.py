@@ -7,6 +7,8 @@ rows can be written as fixed-width files and portfolio files and scanned back.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,24 +166,28 @@ def write_portfolio_files(spark: SparkSession, sf_dir: str) -> str:
         "p_size",
         "p_retailprice",
     )
-    for year in YEARS:
-        for number, (start, end, left_out) in enumerate(TERMS):
-            inside = parts.where(F.col("p_type") != left_out)
-            untidy = F.concat(F.lit(" "), F.lower("asset"), F.lit(" "))
-            if number == 1:
-                sep, listed = ";", inside.select(untidy.alias("Codigo"), F.col("p_size").alias("Peso, kg"))
-            else:
-                sep, listed = ",", inside.select(
-                    F.col("asset").alias("Código"),
-                    F.col("p_type").alias("Tipo"),
-                    F.col("p_size").alias("Qtde Teorica"),
-                    F.col("p_retailprice").alias("Part %"),
-                )
-            name = f"IBOV_{year}-{start}_{year}-{end}.csv"
-            listed.write.csv(
-                f"{path}/{name}", header=True, sep=sep,
-                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, quoteAll=number == 1,
+
+    def write(year: int, number: int) -> None:
+        start, end, left_out = TERMS[number]
+        inside = parts.where(F.col("p_type") != left_out)
+        untidy = F.concat(F.lit(" "), F.lower("asset"), F.lit(" "))
+        if number == 1:
+            sep, listed = ";", inside.select(untidy.alias("Codigo"), F.col("p_size").alias("Peso, kg"))
+        else:
+            sep, listed = ",", inside.select(
+                F.col("asset").alias("Código"),
+                F.col("p_type").alias("Tipo"),
+                F.col("p_size").alias("Qtde Teorica"),
+                F.col("p_retailprice").alias("Part %"),
             )
+        listed.write.csv(
+            f"{path}/IBOV_{year}-{start}_{year}-{end}.csv", header=True, sep=sep,
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, quoteAll=number == 1,
+        )
+
+    # A folder for each portfolio is a write of its own; they run side by side.
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(write, *zip(*((year, number) for year in YEARS for number in range(len(TERMS))))))
     parts.limit(0).select("asset").write.csv(f"{path}/IBOV_draft.csv", header=True)
     parts.groupBy("p_type").count().write.partitionBy("p_type").csv(f"{path}/notes")
     return path
