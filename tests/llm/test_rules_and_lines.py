@@ -70,3 +70,52 @@ def test_line_runs_on_awkward_rows(spark):
     assert prose(1, 60) in by_id[None] and by_id[4] == [""] and by_id[5] == ["", ""]
     assert by_id[11] == [prose(4, 30)] and by_id[-12] == [prose(5, 80)]
     assert line_dedup.dedup_lines(table(spark, [])).collect() == []
+
+
+def winnowed(hashes, words, min_words):
+    """Places that windows select: the last of the least hashes in each shortest run of lines, from either end."""
+    out, windows = set(), set()
+    for i in range(len(hashes)):
+        for step in (1, -1):
+            total, j = 0, i
+            while 0 <= j < len(hashes):
+                total += words[j]
+                if total >= min_words:
+                    a, b = min(i, j), max(i, j)
+                    windows.add((a, b))
+                    out.add(max(range(a, b + 1), key=lambda k: (-hashes[k], k)))
+                    break
+                j += step
+    return out, windows
+
+
+def test_anchors_are_window_minima(spark):
+    """Few lines are written, the minima of the windows, each with all that a window around it can hold."""
+    rows = [(1, prose(31, 3000, 9), "a"), (2, prose(32, 700, 30) + "\n\n" + prose(31, 200, 9), "a"), (3, prose(33, 40), "a")]
+    docs = table(spark, rows)
+    found = line_dedup.line_anchors(docs, docs["doc_id"], docs["text"]).collect()
+    total = 0
+    for doc_id, text, _ in rows:
+        mine = [r for r in found if r.id == doc_id]
+        lines = [(p, line.strip()) for p, line in enumerate(text.split("\n")) if line.strip()]
+        hashes = [r[0] for r in spark.createDataFrame(lines, "p int, line string").orderBy("p").selectExpr("xxhash64(line)").collect()]
+        words = [len(line.split()) for _, line in lines]
+        selected, windows = winnowed(hashes, words, 50)
+        assert {(r.p, r.f) for r in mine} == {(lines[i][0], hashes[i]) for i in selected}
+        total += len(windows)
+        at = {lines[i][0]: i for i in selected}
+        for r in mine:
+            held = [w for w in windows if w[0] <= at[r.p] <= w[1]]
+            around = [[p for p, _ in lines].index(p) for p in r.ps]
+            assert around == list(range(around[0], around[-1] + 1))
+            assert around[0] <= min(a for a, _ in held) and max(b for _, b in held) <= around[-1]
+            assert r.hs == [hashes[i] for i in around] and r.ws == [words[i] for i in around]
+    assert len(found) < total / 2
+
+
+def test_fingerprints_that_do_not_fit_a_broadcast(spark, monkeypatch):
+    rows = [(k, prose(40, 120) + "\n" + prose(41 + k, 90), "a") for k in range(5)]
+    want = sorted(tuple(r) for r in line_dedup.dedup_lines(table(spark, rows)).select("doc_id", "text").collect())
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 0)
+    got = sorted(tuple(r) for r in line_dedup.dedup_lines(table(spark, rows)).select("doc_id", "text").collect())
+    assert got == want and sum(len(t) for _, t in got) < sum(len(t) for _, t, _ in rows) - 2000
