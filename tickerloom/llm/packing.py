@@ -33,10 +33,10 @@ from tickerloom.llm.common import column, give_back, saved
 #: Pieces of one length are ranked in buckets of about so many.
 RANKED_TOGETHER = 100_000
 #: Words and parts of words a worker keeps ids of, and the longest it keeps.
-MEMO_ENTRIES = 800_000
+MEMO_ENTRIES = 1_200_000
 MEMO_CHARS = 64
 #: Characters of text, and then parts of words, that are looked up together.
-CHARS_AT_ONCE = 1 << 20
+CHARS_AT_ONCE = 2 << 20
 PARTS_AT_ONCE = 200
 
 # Fixed value: how the tokenizer file cuts lower-case text; a file with another pattern is used as a whole.
@@ -121,25 +121,44 @@ class WordTokenizer:
         memo, old = self.memo, self.old
         found = {word: old[word] for word in words if word in old}
         cut = {word: self._cut(word) for word in words if word not in found}
-        order = sorted({part for parts in cut.values() for part in parts if part not in memo and part not in old})
+        order = list({part for parts in cut.values() for part in parts if part not in memo and part not in old})
         found.update(zip(order, self._encoded_parts(order), strict=True))
         for word, parts in cut.items():
             if word not in found:
-                found[word] = b"".join([found.get(part) or memo.get(part) or old[part] for part in parts])
+                found[word] = b"".join(
+                    [found[part] if part in found else memo[part] if part in memo else old[part] for part in parts]
+                )
         if len(memo) + len(found) > self.memo_entries // 2:
             self.old, self.memo = memo, {}
         self.memo.update((word, ids) for word, ids in found.items() if len(word) <= MEMO_CHARS)
         return found
 
-    def _look_up(self, split: list[tuple[int, list[str]]], out: list[bytes]) -> None:
-        known = self.memo
-        new = [word for word in set().union(*(words for _, words in split)) if word not in known]
+    def _look_up(self, places: list[int], texts: list[str], out: list[bytes]) -> None:
+        """Every distinct word of the texts is looked up once; their ids are then gathered by its number."""
+        words = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(texts, pa.large_string())))
+        coded = words.flatten().dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = list(map(self.memo.get, names))
+        new = [k for k, ids in enumerate(known) if ids is None]
         if new:
-            found = self._learn(new)
-            if self.memo is not known or any(len(word) > MEMO_CHARS for word in new):
-                known = known | found  # the memo begins anew, or does not keep them all
-        for at, words in split:
-            out[at] = b"".join(map(known.__getitem__, words))
+            found = self._learn([names[k] for k in new])
+            for k in new:
+                known[k] = found[names[k]]
+        codes = coded.indices.to_numpy()
+        # A character gives a few ids at most, so only a very long text needs wide numbers.
+        wide = np.int32 if sum(map(len, texts)) < 1 << 28 else np.int64
+        sizes = np.fromiter(map(len, known), wide, len(known)) // 4
+        pool = np.frombuffer(b"".join(known), "<u4")
+        lengths = sizes[codes]
+        ends = np.cumsum(lengths, dtype=wide)
+        # Every id of the result, by its place in the pool.
+        shift = (np.cumsum(sizes, dtype=wide) - sizes)[codes] - (ends - lengths)
+        at = np.repeat(shift, lengths)
+        at += np.arange(len(at), dtype=wide)
+        ids = pool[at]
+        edges = np.concatenate([np.zeros(1, wide), ends])[words.offsets.to_numpy()].tolist()
+        for place, lo, hi in zip(places, edges, edges[1:]):
+            out[place] = ids[lo:hi].tobytes()
 
     def _plain(self, text: str) -> bool:
         """Whether normalising leaves the text alone, but for case, and no special token is in it."""
@@ -153,7 +172,8 @@ class WordTokenizer:
     def ids_of(self, texts: list[str | None]) -> list[bytes]:
         """The ids of every text; null has none."""
         out = [b""] * len(texts)
-        split: list[tuple[int, list[str]]] = []
+        places: list[int] = []
+        plain: list[str] = []
         size = 0
         for at, text in enumerate(texts):
             if not text:
@@ -161,13 +181,14 @@ class WordTokenizer:
             if not self.by_word or not self._plain(text):
                 out[at] = self._encoded([text])[0]
                 continue
-            split.append((at, text.lower().split()))
+            places.append(at)
+            plain.append(text)
             size += len(text)
             if size >= CHARS_AT_ONCE:
-                self._look_up(split, out)
-                split, size = [], 0
-        if split:
-            self._look_up(split, out)
+                self._look_up(places, plain, out)
+                places, plain, size = [], [], 0
+        if plain:
+            self._look_up(places, plain, out)
         return out
 
     def ids(self, text: str | None) -> bytes:
