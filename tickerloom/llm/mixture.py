@@ -41,6 +41,12 @@ def quality_weight(text: Column, size: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.lit(4.0) * F.coalesce(symbols, F.lit(0)) / F.greatest(size, F.lit(1)))
 
 
+def handed_weight(weight: Column) -> Column:
+    """A weight that the caller brings, a score for instance, between 1e-6 and 1; the least for null and NaN."""
+    weight = weight.cast("double")
+    return F.when(weight.isNull() | F.isnan(weight), 1e-6).otherwise(F.least(F.greatest(weight, F.lit(1e-6)), F.lit(1.0)))
+
+
 def sampling_key(id: Column, text: Column, weight: Column, seed: int) -> Column:
     """-ln(u) / weight, with u from the first 52 bits of an MD5 of seed, id and text."""
     named = F.concat_ws("|", F.lit(str(seed)), F.coalesce(id.cast("string"), F.lit("")), F.coalesce(text, F.lit("")))
@@ -137,10 +143,11 @@ def mixture_plan(keyed: DataFrame, *, shares: tuple[int, ...] = (1, 2, 3), max_e
     )
 
 
-def _copies() -> Column:
+def _copies(max_epochs: int) -> Column:
+    """How often a document is taken: a source at its limit has no epoch left for what stands before an empty cut."""
     at = _slice(F.col("key"))
     taken = (at < F.col("cut_slice")) | ((at == F.col("cut_slice")) & (F.col("key") <= F.col("cut_key")))
-    return F.col("epochs") + taken.cast("long")
+    return F.least(F.col("epochs") + taken.cast("long"), F.lit(max_epochs).cast("long"))
 
 
 def _with_plan(keyed: DataFrame, plan: DataFrame, sources: int) -> DataFrame:
@@ -150,16 +157,19 @@ def _with_plan(keyed: DataFrame, plan: DataFrame, sources: int) -> DataFrame:
     return keyed.join(side, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
 
 
-def keyed_documents(docs: DataFrame, *, text: str, id: str, source: str, seed: int) -> DataFrame:
+def keyed_documents(
+    docs: DataFrame, *, text: str, id: str, source: str, seed: int, weight: str | None = None
+) -> DataFrame:
     """Per row ``doc_id``, ``source``, ``size`` and ``key``."""
     body = column(docs, text)
+    handed = F.lit(None).cast("double") if weight is None else handed_weight(column(docs, weight))
     sized = docs.select(
         column(docs, id).alias("doc_id"), column(docs, source).alias("source"), body.alias("text"),
-        word_count(body).alias("size"),
+        word_count(body).alias("size"), handed.alias("weight"),
     )
-    weight = quality_weight(F.col("text"), F.col("size"))
-    key = sampling_key(F.col("doc_id"), F.col("text"), weight, seed)
-    return sized.withColumn("key", key).drop("text")
+    weighed = quality_weight(F.col("text"), F.col("size")) if weight is None else F.col("weight")
+    key = sampling_key(F.col("doc_id"), F.col("text"), weighed, seed)
+    return sized.withColumn("key", key).drop("text", "weight")
 
 
 def mix(
@@ -171,17 +181,20 @@ def mix(
     shares: tuple[int, ...] = (1, 2, 3),
     max_epochs: int = 3,
     seed: int = 42,
+    weight: str | None = None,
 ) -> DataFrame:
     """Per row its id, ``size`` in words, ``source_size``, ``target``, ``copies`` and ``taken`` words.
 
     Null and empty texts have size 0 and take nothing; a null source is a source
     of its own; a source without words has target 0.  Rows equal in id and text
     have one key and are taken together.  Reruns agree, since keys are hashes.
-    Other columns are left out; an empty table gives an empty one.
+    ``weight`` names a column of quality weights, such as scores (see
+    ``handed_weight``); without it a text's symbols tell.  No document, without
+    words or not, comes more than ``max_epochs`` times.  Other columns are left out; an empty table gives an empty one.
     """
-    keyed = saved(keyed_documents(docs, text=text, id=id, source=source, seed=seed), "mixture_keys")
+    keyed = saved(keyed_documents(docs, text=text, id=id, source=source, seed=seed, weight=weight), "mixture_keys")
     plan = saved(mixture_plan(keyed, shares=shares, max_epochs=max_epochs), "mixture_plan")
-    joined = _with_plan(keyed, plan, plan.count()).withColumn("copies", _copies())
+    joined = _with_plan(keyed, plan, plan.count()).withColumn("copies", _copies(max_epochs))
     return joined.select(
         "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
@@ -196,9 +209,14 @@ def mixed_documents(
     shares: tuple[int, ...] = (1, 2, 3),
     max_epochs: int = 3,
     seed: int = 42,
+    weight: str | None = None,
 ) -> DataFrame:
-    """The rows of the mix, all columns as they are, each as often as it is taken."""
-    keyed = saved(keyed_documents(docs, text=text, id=id, source=source, seed=seed), "mixture_keys")
+    """The rows of the mix, all columns as they are, each as often as it is taken, ``max_epochs`` times at most.
+
+    Nulls, ties, repeated rows, weights and empty tables are as in ``mix``;
+    documents without words come as often as their key says.
+    """
+    keyed = saved(keyed_documents(docs, text=text, id=id, source=source, seed=seed, weight=weight), "mixture_keys")
     plan = saved(mixture_plan(keyed, shares=shares, max_epochs=max_epochs), "mixture_plan")
     row = fresh(["source", "size", "key", *plan.columns], "row")
     body = column(docs, text)
@@ -208,8 +226,8 @@ def mixed_documents(
         word_count(body).alias("size"),
     )
     inner = F.col(row)
-    weight = quality_weight(inner[text], F.col("size"))
-    whole = whole.withColumn("key", sampling_key(inner[id], inner[text], weight, seed))
+    weighed = quality_weight(inner[text], F.col("size")) if weight is None else handed_weight(inner[weight])
+    whole = whole.withColumn("key", sampling_key(inner[id], inner[text], weighed, seed))
     joined = _with_plan(whole, plan, plan.count())
-    repeated = joined.select(row, F.explode(F.array_repeat(F.lit(0), _copies().cast("int"))))
+    repeated = joined.select(row, F.explode(F.array_repeat(F.lit(0), _copies(max_epochs).cast("int"))))
     return repeated.select(*(inner[name].alias(name) for name in docs.columns))
