@@ -6,11 +6,14 @@ One Aho-Corasick automaton then finds the words of the lexicon and the
 exception phrases in a single pass; a word inside an exception phrase does not
 count.  The summed weights, plain and relative to the length, go through a
 logistic curve.  An entry is a word or a stem, which matches the beginning of a longer
-word.  Lexicon, weights and curve are learned from labelled texts.
+word.  Lexicon, weights, curve and the exceptions beyond a few fixed ones are
+learned from labelled texts: a hit together with the word before or after it is
+an exception if clean texts have it again and again and toxic ones hardly do.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import unicodedata
@@ -41,6 +44,10 @@ _HIDDEN = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 _MIXED = re.compile(r"(?<![^\W_])(?=[0134578@$]*[a-z])[a-z0134578@$]*[0134578@$][a-z0134578@$]*(?<![$@])(?![^\W_])")
 _BEYOND_LATIN = re.compile("[^\x00-\u02ff]")
 _TOKEN = re.compile(r"[^\W\d_]{2,}")
+# The rest of a word, and the words next to one, a blank apart.
+_REST = re.compile(r"[^\W_]*")
+_BEFORE = re.compile(r"(?<![^\W_])([^\W_]+) $")
+_AFTER = re.compile(r" ([^\W_]+)")
 
 DEFAULT_EXCEPTIONS = (
     "clown fish", "trash can", "trash bag", "trash bin", "sore loser", "idiot proof", "not stupid",
@@ -75,8 +82,8 @@ class Matcher:
             self.automaton.add_word(word, (len(word), tuple(kinds.items())))
         self.automaton.make_automaton()
 
-    def total(self, folded: str) -> float:
-        """Sum of the weights of words and stems found outside exception phrases."""
+    def hits(self, folded: str) -> list[tuple[int, int, float]]:
+        """Start, end and weight of the words and stems found outside exception phrases."""
         hits, spared = [], []
         for last, (length, kinds) in self.automaton.iter(folded):
             start, end = last + 1 - length, last + 1
@@ -100,7 +107,11 @@ class Matcher:
                 if end > reach:
                     kept.append((start, end, weight))
             hits = kept
-        return math.fsum(weight for _, _, weight in hits)
+        return hits
+
+    def total(self, folded: str) -> float:
+        """Sum of the weights of the hits."""
+        return math.fsum(weight for _, _, weight in self.hits(folded))
 
     def features(self, text: str | None) -> tuple[float, float]:
         """Hit weight, damped; and hit weight per square root of the length in words of six letters."""
@@ -119,6 +130,10 @@ class ToxicityModel:
     weights: tuple[float, float]
     intercept: float
 
+    def digest(self) -> str:
+        """Tells models of different entries apart."""
+        return hashlib.sha1(repr((sorted(self.lexicon.items()), self.exceptions)).encode()).hexdigest()
+
     def score(self, features: tuple[float, float]) -> float:
         return sigmoid(sum(w * x for w, x in zip(self.weights, features, strict=True)) + self.intercept)
 
@@ -169,6 +184,35 @@ def _learn_lexicon(toxic: list[str], clean: list[str], max_words: int, min_share
     return picked
 
 
+def _learn_exceptions(
+    matcher: Matcher, toxic: list[str], clean: list[str], max_phrases: int, least: int = 3
+) -> tuple[str, ...]:
+    """Hits with the word before or after them that ``least`` clean texts have, and ten times the share of toxic ones.
+
+    The texts are folded.  Phrases in most clean texts come first, equal ones by name.
+    """
+    counts = []
+    for texts in (clean, toxic):
+        inside = Counter()
+        for text in texts:
+            phrases = set()
+            for start, end, _ in matcher.hits(text):
+                word = text[start : end + len(_REST.match(text, end).group())]
+                if before := _BEFORE.search(text, max(0, start - 40), start):
+                    phrases.add(f"{before[1]} {word}")
+                if after := _AFTER.match(text, start + len(word)):
+                    phrases.add(f"{word} {after[1]}")
+            inside.update(phrases)
+        counts.append(inside)
+    clean_of, toxic_of = counts
+    learned = [
+        phrase
+        for phrase, n in clean_of.items()
+        if n >= least and n / len(clean) >= 10 * toxic_of[phrase] / len(toxic)
+    ]
+    return tuple(sorted(learned, key=lambda phrase: (-clean_of[phrase], phrase))[:max_phrases])
+
+
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -179,9 +223,12 @@ def fit_toxicity(
     max_words: int = 256,
     min_share: float = 0.01,
     exceptions: tuple[str, ...] = DEFAULT_EXCEPTIONS,
+    max_exceptions: int = 64,
 ) -> ToxicityModel:
     """Trains on a bounded sample (see ``labelled_sample``); held-out ids are never read.
 
+    Up to ``max_exceptions`` phrases are learned besides the given ``exceptions``.
+
     The curve is fitted on the same texts, weighted to the shares of the labels
     in the whole table.  Without an example of both labels the score is the
     share of label 1 among the training labels.
@@ -196,6 +243,8 @@ def fit_toxicity(
     lexicon = _learn_lexicon(toxic, clean, max_words, min_share)
     if not lexicon:
         return none
+    learned = _learn_exceptions(Matcher(lexicon, exceptions), toxic, clean, max_exceptions)
+    exceptions = (*exceptions, *(phrase for phrase in learned if phrase not in exceptions))
     matcher = Matcher(lexicon, exceptions)
     rows = [(matcher.features(text), mark) for mark in (0, 1) for text in side[mark]]
     x = np.array([features for features, _ in rows])
@@ -206,17 +255,17 @@ def fit_toxicity(
     return ToxicityModel(lexicon, exceptions, tuple(weights), intercept)
 
 
-_matchers: dict[int, Matcher] = {}
+_matchers: dict[str, Matcher] = {}
 
 
 def toxicity_score(text: Column, model: ToxicityModel) -> Column:
     """The probability of label 1 for a text column; null scores as empty."""
+    key = model.digest()
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         if not model.lexicon:
             return pa.array([model.score((0.0, 0.0))] * len(texts), pa.float64())
-        key = hash((tuple(model.lexicon.items()), model.exceptions))
         if key not in _matchers:
             _matchers.clear()
             _matchers[key] = Matcher(model.lexicon, model.exceptions)
@@ -244,5 +293,9 @@ def toxicity_scores(
 
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, *, text: str = "text", at: float = 0.7) -> DataFrame:
-    """The rows, all columns as they are, that score below ``at``."""
+    """The rows, all columns as they are, that score below ``at``.
+
+    Null and empty texts score as texts without hits; repeated rows go or stay
+    together; an empty table gives an empty one.
+    """
     return docs.filter(toxicity_score(column(docs, text), model) < at)
