@@ -10,6 +10,7 @@ labelled texts that went into neither dictionary.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -107,17 +108,17 @@ def fit_compression(
     return CompressionModel(good, bad, tuple(weights), intercept)
 
 
-_sizes: dict[int, Sizes] = {}
+_sizes: dict[str, Sizes] = {}
 
 
 def compression_score(text: Column, model: CompressionModel) -> Column:
-    """The probability of label 1 for a text column."""
+    """The probability of label 1 for a text column; null scores as empty."""
+    key = hashlib.sha1(model.good + b"|" + model.bad).hexdigest()
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         if not model.good:
             return pa.array([model.score((0.0, 0.0))] * len(texts), pa.float64())
-        key = hash((model.good, model.bad))
         if key not in _sizes:
             _sizes.clear()
             _sizes[key] = Sizes(model.good, model.bad)

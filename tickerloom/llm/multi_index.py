@@ -264,8 +264,9 @@ def nearest(
     on at most ``sample_rows`` vectors picked by a hash; all are indexed.  Vectors
     that are null, zero or hold null or non-finite components take no part,
     neither do null ids and vectors of another length than the most frequent one
-    (the longer of two).  Rows with equal id and vector are one.  Equal scores go
-    by id.  An empty table, or one row, gives an empty result.
+    (the longer of two).  Rows with equal id and vector are one.  Rows of one id
+    with different vectors are queries of their own, with a list each, and never
+    neighbours of one another.  Equal scores go by id.  An empty table, or one row, gives an empty result.
     """
     shown = neighbours + 1
     read = vectors.select(column(vectors, id).cast("long").alias("vec_id"), _packed(column(vectors, vector)).alias("vec"))
@@ -336,7 +337,7 @@ def nearest(
     top = F.row_number().over(Window.partitionBy("key").orderBy(*order))
     best = listed.withColumn("place", top).filter(F.col("place") <= shown).drop("place")
     answers = asked.withColumnRenamed("vec_id", "query_id").join(best, "key").filter("vec_id <> query_id")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy("query_id", "key").orderBy(*order))
     return answers.withColumn("rank", rank).filter(F.col("rank") <= neighbours).select(
         "query_id", "rank", "vec_id", "score"
     )
