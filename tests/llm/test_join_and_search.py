@@ -163,3 +163,47 @@ def test_cells_come_in_the_order_of_distance():
     assert (np.diff(summed[cells]) >= 0).all() and last == summed[cells[-1]]
     cells, _ = multi_index.visited(one, two, sizes, 20)
     assert sizes[cells].sum() >= 20 > sizes[cells[:-1]].sum()
+
+
+def test_one_id_with_several_vectors(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [0.9, 0.1]), (2, [0.1, 0.9]), (3, [0.7, 0.7])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = [(r.query_id, r["rank"], r.vec_id) for r in multi_index.nearest(docs).collect()]
+    assert sorted(found) == [(50, 1, 1), (50, 1, 2), (50, 2, 3), (50, 2, 3), (50, 3, 1), (50, 3, 2)]
+
+
+def test_many_unlinked_near_copies_make_few_links(spark, monkeypatch):
+    """A group of near copies, most pairs of which are not linked: links and checked sets stay linear."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 64)
+    rng = random.Random(21)
+    base = prose(55, 90).split()
+    rows = []
+    for k in range(1000):
+        words = list(base)
+        for at in rng.sample(range(90), rng.choice([1, 2, 3, 5, 8])):
+            words[at] = f"w{rng.randrange(10**6)}"
+        rows.append((k, " ".join(words), "a"))
+    seen = {}
+    for name in ("_open", "_joined"):
+        inner = getattr(jaccard_join, name)
+
+        def counted(frame, percent, inner=inner, name=name):
+            out = jaccard_join.saved(inner(frame, percent), name)
+            seen[name] = out.count()
+            return out
+
+        monkeypatch.setattr(jaccard_join, name, counted)
+    found = jaccard_join.jaccard_components(table(spark, rows), words=3, percent=90)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in found.collect())
+    assert got == sorted(component_ids([r[:2] for r in rows], 3, 90))
+    # Without the joining there are tens of thousands of open pairs.
+    assert seen["_joined"] < 1000 and seen["_open"] < 20_000
+
+
+def test_which_of_equal_rows_stays(spark):
+    """Rows equal in id and text, but not in all columns: the first by all columns as JSON."""
+    text = prose(12, 40)
+    rows = [(1, text, "b"), (1, text, "a"), (2, text, "a"), (3, prose(13, 40), "c")]
+    kept = jaccard_join.one_per_component(table(spark, rows)).collect()
+    assert sorted((r.doc_id, r.source) for r in kept) == [(1, "a"), (3, "c")]
+

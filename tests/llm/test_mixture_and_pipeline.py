@@ -2,10 +2,14 @@
 
 import random
 from collections import defaultdict
+from pathlib import Path
+
+import pytest
 
 import corpus_pipeline
 from tests.llm.helpers import awkward_texts, component_ids, deduplicated, prose, shingles_of, table, words_of
 from tickerloom.llm import mixture
+from tickerloom.scratch import discard, saved, scratch_root, scratch_run
 
 
 def _targets(sizes, shares=(1, 2, 3), most=3):
@@ -115,7 +119,7 @@ def test_pipeline_stages_on_planted_cases(spark, tmp_path):
     kept, steps = documents, {}
     for name, stage in corpus_pipeline.STAGES:
         before = kept
-        kept = corpus_pipeline.saved(stage(spark, kept, str(tmp_path)), name)
+        kept = saved(stage(spark, kept, str(tmp_path)), name)
         steps[name] = (before.collect(), kept.collect())
         if name != "packing":
             assert kept.columns == documents.columns
@@ -149,3 +153,55 @@ def test_pipeline_stages_on_planted_cases(spark, tmp_path):
 
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in after)
+    # What the run saved on its way is gone; its result alone is left.
+    scratch = Path(scratch_root(spark).removeprefix("file:")) / "tickerloom"
+    before = {p.name for p in scratch.iterdir()}
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    left = [p for p in scratch.iterdir() if p.name not in before]
+    tables = {p.relative_to(q).parts[0] for q in left for p in q.rglob("*.parquet")}
+    assert tables == {"packing"} and out.count() == len(after)
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    """No documents; then documents, an empty and a null text among them, without labels."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/a/labels.parquet")
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/a/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/a").collect() == []
+    rows = [(1, prose(1, 30), "en", "s", 3), (2, None, "en", "s", None), (3, "", None, None, 0), (None, prose(2, 30), "en", "s", 1)]
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/b/labels.parquet")
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/b/documents.parquet")
+    assert {r.doc_id for r in corpus_pipeline.run(spark, f"{tmp_path}/b").collect()} >= {1, None}
+
+
+def test_only_tables_of_ones_own_are_discarded(spark, tmp_path):
+    with pytest.raises(ValueError, match="scratch"):
+        discard(spark, str(tmp_path))
+    with scratch_run(spark) as path:
+        inside = saved(spark.range(3), "numbers").inputFiles()
+        assert all(path in name for name in inside)
+    outside = saved(spark.range(3), "numbers")
+    assert outside.count() == 3 and not Path(path.removeprefix("file:")).exists()
+
+
+def test_handed_weights(spark):
+    """Documents with a high score are taken before others; nulls last."""
+    docs = spark.createDataFrame(
+        [(i, prose(i, 10), "ab"[i % 2], 0.9 if i < 300 else 0.01 if i < 600 else None) for i in range(900)],
+        "doc_id long, text string, source string, score double",
+    )
+    found = {r.doc_id: r.copies for r in mixture.mix(docs, weight="score").collect()}
+    more = [max(found.values()) == found[i] for i in range(900)]
+    assert sum(more[:300]) > 1.4 * sum(more[300:600]) and sum(more[600:]) <= sum(more[300:600])
+    taken = defaultdict(int)
+    for r in mixture.mixed_documents(docs, weight="score").collect():
+        taken[r.doc_id] += 1
+    assert taken == {i: n for i, n in found.items() if n}
+
+
+def test_documents_without_words_come_no_more_than_the_epochs(spark):
+    rows = [(i, "", "a") for i in range(60)] + [(100, "one two", "a")] + [(200 + i, prose(i, 50), "b") for i in range(40)]
+    copies = defaultdict(int)
+    for r in mixture.mixed_documents(table(spark, rows)).collect():
+        copies[r.doc_id] += 1
+    assert max(copies.values()) <= 3

@@ -64,6 +64,59 @@ def test_disguised_words_and_exceptions(spark):
         assert matcher.total(toxicity.fold(text)) == total, text
 
 
+def naive_hits(folded, lexicon, exceptions):
+    """Every place tried with every entry."""
+    edge = [i for i in range(len(folded) + 1) if i in (0, len(folded)) or not (folded[i - 1].isalnum() and folded[i].isalnum())]
+    hits, spared = [], []
+    for start in edge:
+        for entry, weight in lexicon.items():
+            word = entry.removesuffix("*")
+            end = start + len(word)
+            if folded.startswith(word, start) and folded[end : end + 1].isalnum() == entry.endswith("*"):
+                hits.append((start, end, weight))
+        for phrase in exceptions:
+            end = start + len(phrase)
+            if folded.startswith(phrase, start) and not folded[end : end + 1].isalnum():
+                spared.append((start, end))
+    return sorted(h for h in hits if not any(a <= h[0] and h[1] <= b for a, b in spared))
+
+
+def test_matcher_against_naive_search():
+    rng = random.Random(8)
+    lexicon = {"ab": 1.0, "abc": 2.0, "abc*": 3.0, "b": 0.5, "ca*": 1.5, "c a": 2.5, "éa*": 4.0}
+    exceptions = ("b c", "abc a", "ca b ab", "éab")
+    matcher = toxicity.Matcher(lexicon, exceptions)
+    met = 0
+    for _ in range(3000):
+        text = "".join(rng.choice("abcé  .") for _ in range(rng.randint(0, 30)))
+        want = naive_hits(text, lexicon, exceptions)
+        assert sorted(matcher.hits(text)) == want, text
+        met += len(want)
+    assert met > 1500
+
+
+def test_exceptions_are_learned(spark):
+    """A lexicon word that clean texts hold in one phrase only, again and again."""
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(400):
+        toxic = int(i % 2)
+        text = prose(i, 30)
+        if toxic:
+            text += rng.choice([" you zorg", " zorg head", " all zorg now", " zorgs here zorg"])
+        elif i % 20 == 0:
+            text += " the zorg plant grows"
+        rows.append((i, text, "a"))
+        labels.append((i, 1, toxic))
+    docs, marks = table(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    with_, without = (toxicity.fit_toxicity(docs, marks, max_exceptions=n) for n in (64, 0))
+    assert "zorg plant" in with_.exceptions and "zorg plant" not in without.exceptions
+    planted = table(spark, [(1, "a fine zorg plant by the door", "a"), (2, "a fine zorg by the door", "a")])
+    one, two = ({r.doc_id: r.score for r in toxicity.toxicity_scores(planted, m).collect()} for m in (with_, without))
+    assert one[1] < 0.3 < 0.5 < one[2] and one[1] < two[1]
+    assert with_.digest() != without.digest()
+
+
 def test_stages_and_scores_on_awkward_rows(spark, toxic_rows):
     model = toxicity.fit_toxicity(*_labelled(spark, toxic_rows))
     found = toxicity.toxicity_scores(table(spark), model).collect()

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -165,3 +166,54 @@ def test_sequences_hold_the_documents(spark, monkeypatch):
 
 def test_packing_nothing(spark):
     assert packing.pack_documents(table(spark, []), WORDS).collect() == []
+
+
+def plain_best_fit(lengths, capacities):
+    """Longest first, one piece at a time, into the open sequence that fits best; how full the sequences get."""
+    full = capacities.vector()
+    weights = np.array(capacities.weights)
+    left = []
+    for length in sorted(lengths, reverse=True):
+        demand = np.array([length, 1, length * length])
+        fits = [k for k, x in enumerate(left) if (x >= demand).all()]
+        if not fits:
+            left.append(full - demand)
+            continue
+        if capacities.rule == "norm":
+            score = [float((((left[k] - demand) / full) ** 2) @ weights) for k in fits]
+        else:
+            score = [-float((left[k] / full * (demand / full)) @ weights) for k in fits]
+        k = fits[int(np.argmin(score))]
+        left[k] = left[k] - demand
+    return sorted(tuple(int(x) for x in one) for one in left)
+
+
+@pytest.mark.parametrize(
+    "capacities",
+    [
+        packing.Capacities(tokens=100),
+        packing.Capacities(tokens=100, documents=3),
+        packing.Capacities(tokens=100, cost=4000),
+        packing.Capacities(tokens=64, documents=5, cost=1500, weights=(1.0, 1.0, 1.0)),
+    ],
+)
+def test_groups_are_packed_like_single_pieces(capacities):
+    """Moving whole groups of sequences at once gives as many sequences as piece by piece, filled within all capacities."""
+    rng = random.Random(capacities.tokens)
+    most = min(capacities.tokens, int((capacities.cost or 10**6) ** 0.5))
+    for _ in range(20):
+        lengths = [min(most, 1 + int(rng.expovariate(1 / 20))) for _ in range(rng.randint(1, 300))]
+        counts = dict(Counter(lengths))
+        plan = packing.best_fit(counts, capacities)
+        used = {}
+        for length, n in counts.items():
+            rows = plan[plan[:, 0] == length]
+            for rank in range(n):
+                _, first, sequence, each, _ = rows[np.searchsorted(rows[:, 1], rank, side="right") - 1]
+                at = int(sequence + (rank - first) // each)
+                used.setdefault(at, np.zeros(3, int))
+                used[at] += [length, 1, length * length]
+        assert all((x <= capacities.vector()).all() for x in used.values())
+        want = plain_best_fit(lengths, capacities)
+        assert len(used) <= 1.02 * len(want) + 1
+

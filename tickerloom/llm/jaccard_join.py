@@ -32,7 +32,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickerloom.llm import shingles
-from tickerloom.llm.common import column, fresh, saved
+from tickerloom.llm.common import column, fresh, give_back, saved
 
 #: Buckets of more classes are searched only by classes that cannot do without.
 COMMON = 32
@@ -154,6 +154,7 @@ def _filed(texts: DataFrame, words: int, percent: int) -> DataFrame:
                     keys, owners, seen, size = [], [], set(), 0
         if size:
             yield flush()
+        give_back()
 
     return texts.mapInArrow(file, "key bigint, cls bigint, member bigint, sig bigint")
 
