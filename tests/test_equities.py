@@ -7,16 +7,12 @@ from tests.helpers import rows
 
 
 def test_keeps_regular_equities(spark):
-    quotes = spark.createDataFrame(
-        [
-            ("02", " petr4 ", "PN    N1"),
-            ("02", "VALE3", "BDR"),
-            ("96", "PETR4", "PN    N1"),
-            ("02", " XPTO11 ", "ON     NM"),
-        ],
-        "BDI string, asset string, spec string",
-    )
-    assert [row["asset"] for row in tl.equity_filter(quotes).collect()] == ["PETR4", "XPTO11"]
+    """One row for each reason to go, and every tidy-up of a ticker."""
+    kept = {"\tsola 4": "SOLA4", "Lumi3": "LUMI3", "FOZ 11 ": "FOZ11"}
+    data = [("02", ticker, spec) for ticker, spec in zip(kept, ("PN  EJ  N2", "ON", "UNT     N1"))]
+    data += [("78", "MARE3", "ON"), ("12", "NORD4", "PN"), ("02", "QUAR34", "BDR")]
+    quotes = spark.createDataFrame(data, "BDI string, asset string, spec string")
+    assert sorted(row["asset"] for row in tl.equity_filter(quotes).collect()) == sorted(kept.values())
 
 
 def test_nulls_and_blanks(spark):

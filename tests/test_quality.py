@@ -75,10 +75,11 @@ def test_summary(spark):
 
 
 def test_zero_activity_prefers_trades(spark):
-    df = spark.createDataFrame(
-        [("PETR4", 0, 100), ("PETR4", 5, 200), ("VALE3", 0, 0)], "asset string, TOTNEG int, volume int"
-    )
-    assert rows(tl.zero_activity(df)) == [("PETR4", 1), ("VALE3", 1)]
+    """Where trades are counted the volume doesn't matter, zero or not."""
+    data = [("SOLA4", trades, volume) for trades in (0, 3) for volume in (0, 70)]
+    data += [("LUMI3", 0, 9)] * 3 + [("FOZ11", 8, 0)]
+    df = spark.createDataFrame(data, "asset string, TOTNEG int, volume int")
+    assert rows(tl.zero_activity(df)) == [("LUMI3", 3), ("SOLA4", 2)]
 
 
 def test_zero_activity_by_volume(spark):
@@ -160,8 +161,10 @@ def test_histogram_arguments(spark):
 
 
 def test_magnitudes(spark):
-    df = spark.createDataFrame([(v,) for v in (0, 1, 10, 500, 1200)], "volume int")
-    assert rows(tl.volume_magnitude(df)) == [("1e0", 1), ("1e1", 1), ("1e2", 1), ("1e3", 1), ("<=0", 1)]
+    """Each power of ten and the numbers next to it."""
+    edges = [v for k in (1, 2, 4) for v in (10**k - 1, 10**k, 10**k + 1)]
+    df = spark.createDataFrame([(v,) for v in (*edges, -7, 0)], "volume int")
+    assert rows(tl.volume_magnitude(df)) == [("1e0", 1), ("1e1", 3), ("1e2", 2), ("1e3", 1), ("1e4", 2), ("<=0", 2)]
 
 
 def test_magnitudes_of_odd_values(spark):
