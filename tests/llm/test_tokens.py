@@ -164,6 +164,20 @@ def test_sequences_hold_the_documents(spark, monkeypatch):
     assert sum(r.length for r in sequences.values()) == sum(len(x) // 4 for ids in texts.values() for x in ids)
 
 
+def test_texts_are_packed_in_small_batches(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(name), []
+
+    def pack(pieces, capacities):
+        seen.append(int(spark.conf.get(name)))
+        raise RuntimeError("far enough")
+
+    monkeypatch.setattr(packing, "pack", pack)
+    with pytest.raises(RuntimeError, match="far enough"):
+        packing.pack_documents(table(spark), WORDS)
+    assert seen == [8 << 20] and spark.conf.get(name) == before
+
+
 def test_packing_nothing(spark):
     assert packing.pack_documents(table(spark, []), WORDS).collect() == []
 

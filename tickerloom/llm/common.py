@@ -5,7 +5,8 @@ from __future__ import annotations
 import ctypes
 import gc
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.scratch import saved
 
-__all__ = ["column", "fit_logistic", "fresh", "give_back", "is_held_out", "labelled_sample", "saved", "sigmoid", "table"]
+__all__ = ["column", "fit_logistic", "fresh", "give_back", "is_held_out", "labelled_sample", "saved", "sigmoid", "small_batches", "table"]
 
 
 #: Distinct texts of one id that are examples.
@@ -99,6 +100,18 @@ def give_back() -> None:
         pass
 
 
+@contextmanager
+def small_batches(spark: SparkSession, max_bytes: int = 8 << 20) -> Iterator[None]:
+    """For jobs run inside, bounds the bytes that the JVM and a Python worker exchange at a time."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def sigmoid(x: float) -> float:
     return 1 / (1 + math.exp(-max(-40.0, min(40.0, x))))
 

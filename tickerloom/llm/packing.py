@@ -28,12 +28,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickerloom.llm.common import column, give_back, saved
+from tickerloom.llm.common import column, give_back, saved, small_batches
 
 #: Pieces of one length are ranked in buckets of about so many.
 RANKED_TOGETHER = 100_000
-#: Words and parts of words a worker keeps ids of, and the longest it keeps.
-MEMO_ENTRIES = 1_200_000
+#: Words and parts of words a worker keeps ids of, and the longest it keeps: some 250 bytes each, next to an
+#: executor's heap, which may have grown to its limit.
+MEMO_ENTRIES = 800_000
 MEMO_CHARS = 64
 #: Characters of text, and then parts of words, that are looked up together.
 CHARS_AT_ONCE = 2 << 20
@@ -223,7 +224,8 @@ def tokenized(
     ``capacity``; a null text is an empty one.  The ids of about ``CHARS_AT_ONCE``
     characters are in memory at a time, besides the batch that was read.
     ``memo_entries`` bounds the tokenizer's memo, and ``forget`` gives it up after
-    every task, for jobs that need the workers' memory more than the time.
+    every task, for jobs that need the workers' memory more than the time.  What a
+    task needed besides goes back to the machine at its end.
     """
     rows = docs.select(column(docs, id).alias("doc_id"), column(docs, text).alias("text"))
     last = np.array([end], "<u4").tobytes()
@@ -257,7 +259,7 @@ def tokenized(
                 at = to
         if forget:
             _tokenizers.pop(path, None)
-            give_back()
+        give_back()
 
     schema = T.StructType(
         [
@@ -439,4 +441,5 @@ def pack_documents(
         docs, path, text=text, id=id, capacity=capacities.tokens, memo_entries=memo_entries, forget=forget
     )
     found = found.withColumn("ids_crc32", F.crc32("ids"))
-    return pack(found if with_ids else found.drop("ids"), capacities)
+    with small_batches(docs.sparkSession):  # the texts are read while ``pack`` saves the pieces
+        return pack(found if with_ids else found.drop("ids"), capacities)
