@@ -31,6 +31,9 @@ except ModuleNotFoundError as missing:
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
+# Quote files that are written to be scanned; those whose sizes are reported stay plain.
+PACKED = "lz4"
+
 CLASSES = {"02": "round lot", "96": "odd lot"}
 
 
@@ -43,7 +46,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def fixed_width_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quotes = tl.scan_quotes(spark, tables.write_quote_files(spark, sf_dir), with_file=True)
+    quotes = tl.scan_quotes(spark, tables.write_quote_files(spark, sf_dir, PACKED), with_file=True)
     return quotes.withColumn("file", F.regexp_extract("file", r"(\d{4})\.TXT$", 1))
 
 

@@ -20,8 +20,8 @@ def whole_number(text: Column, decoded: Column | None = None) -> Column:
     raw bytes; only what is no plain number is looked at there.
     """
     bare = F.btrim(text if decoded is None else decoded, F.lit(WHITESPACE))
-    blank = F.when(bare == "", F.lit(0).cast("bigint"))
-    return F.coalesce(text.try_cast("bigint"), blank, bare.try_cast("bigint"))
+    # An empty text becomes 0 without naming it twice: a scan repeats this for every field.
+    return F.coalesce(text.try_cast("bigint"), F.regexp_replace(bare, "^$", "0").try_cast("bigint"))
 
 
 def cents_to_units(cents: Column, digits: int = 18) -> Column:

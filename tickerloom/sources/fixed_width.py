@@ -43,20 +43,23 @@ def _is_quote(layout: Layout) -> Column:
     return _bytes(layout.record_type) == F.lit(layout.quote_type).cast("binary")
 
 
-def _defect(layout: Layout) -> Column:
-    """What is wrong with a line, null if nothing is."""
+def _defects(layout: Layout) -> tuple[Column, Column, Column, Column]:
+    """Whether a line is too short, and what to say; whether a quote has a bad number, and what to say."""
     size = F.octet_length("value")
     too_short = F.concat(
         F.lit("length "),
         size.cast("string"),
         F.lit(f" is below the {layout.min_length} characters of a record"),
     )
-    result = F.when(size < layout.min_length, too_short)
     numeric = [field for field in layout.fields if field.is_number]
-    if numeric:
-        bad = reduce(lambda a, b: a | b, [_digits(field).isNull() for field in numeric])
-        result = result.when(_is_quote(layout) & bad, F.lit("a numeric field is not a whole number"))
-    return result
+    bad = reduce(lambda a, b: a | b, [_digits(field).isNull() for field in numeric], F.lit(False))
+    return size < layout.min_length, too_short, bad, F.lit("a numeric field is not a whole number")
+
+
+def _defect(layout: Layout) -> Column:
+    """What is wrong with a line, null if nothing is."""
+    short, too_short, bad, no_number = _defects(layout)
+    return F.when(short, too_short).when(_is_quote(layout) & bad, no_number)
 
 
 def parse_lines(
@@ -75,17 +78,21 @@ def parse_lines(
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    defect = _defect(layout)
-    if mode == "FAILFAST":
+    short, too_short, bad, no_number = _defects(layout)
+
+    def fail(defect: Column) -> Column:
         line = F.decode(F.col("value").cast("binary"), CHARSET)
         problem = F.concat(
             F.lit("bad quote line in "), F.input_file_name(), F.lit(": "), defect, F.lit(": "), line
         )
-        keep = F.when(defect.isNotNull(), F.raise_error(problem).cast("boolean")).otherwise(
-            _is_quote(layout)
-        )
+        return F.raise_error(problem).cast("boolean")
+
+    # Every field is named once here: the JVM does not compile a scan whose code gets too long.
+    if mode == "FAILFAST":
+        quote = _is_quote(layout)
+        keep = F.when(short, fail(too_short)).when(quote & bad, fail(no_number)).otherwise(quote)
     else:
-        keep = defect.isNull() & _is_quote(layout)
+        keep = ~short & _is_quote(layout) & ~bad
     columns = [_value(field).alias(field.name) for field in layout.fields]
     if file is not None:
         columns.append(file.alias("file"))

@@ -7,7 +7,9 @@ rows can be written as fixed-width files and portfolio files and scanned back.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,10 @@ from tickerloom.sources.layout import QUOTE_LAYOUT, Layout
 
 LINE_WIDTH = 245
 YEARS = range(1995, 2002)
+# A task that writes quote files has so many of them open, one a year; only beyond that it sorts its lines.
+OPEN_FILES = 64
+# Lines of a compressed part file, which one task reads whole.
+PACKED_LINES = 1_000_000
 # Start, end and the part type that is not in the index, per term; the last two overlap.
 TERMS = (
     ("01-02", "04-02", "PROMO"),
@@ -145,18 +151,36 @@ def quote_lines(spark: SparkSession, sf_dir: str, layout: Layout = QUOTE_LAYOUT)
     return records.unionByName(frames)
 
 
-def write_quote_files(spark: SparkSession, sf_dir: str) -> str:
-    """One quote file a year, each a directory of part files; the directory holding them."""
-    path = scratch_path(spark, "quotes")
-    (
-        quote_lines(spark, sf_dir)
-        .select(F.concat(F.col("year").cast("string"), F.lit(".TXT")).alias("COTAHIST_A"), "value")
-        .write.partitionBy("COTAHIST_A")
-        .text(path)
-    )
+@contextmanager
+def _open_files(spark: SparkSession) -> Iterator[None]:
+    """Writes inside keep a file a partition open instead of sorting, and so spilling, whole lines."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _write_lines(lines: DataFrame, path: str, compression: str) -> str:
+    named = lines.select(F.concat(F.col("year").cast("string"), F.lit(".TXT")).alias("COTAHIST_A"), "value")
+    writer = named.write.partitionBy("COTAHIST_A").option("compression", compression)
+    if compression != "none":
+        writer = writer.option("maxRecordsPerFile", PACKED_LINES)
+    with _open_files(lines.sparkSession):
+        writer.text(path)
     return path
 
 
+def write_quote_files(spark: SparkSession, sf_dir: str, compression: str = "none") -> str:
+    """One quote file a year, each a directory of part files; the directory holding them.
+
+    A line is mostly blanks and zeros: packed, its files are a fraction of the size.
+    """
+    return _write_lines(quote_lines(spark, sf_dir), scratch_path(spark, "quotes"), compression)
+
+
 def write_portfolio_files(spark: SparkSession, sf_dir: str) -> str:
     """Portfolios in two dialects, one with a quoted header, next to a file whose name does not fit and nested folders."""
     path = scratch_path(spark, "portfolios")
@@ -211,16 +235,9 @@ def defective_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_lines(spark, sf_dir).select("year", value.cast("string").alias("value"))
 
 
-def write_defective_files(spark: SparkSession, sf_dir: str) -> str:
+def write_defective_files(spark: SparkSession, sf_dir: str, compression: str = "none") -> str:
     """Quote files of which some lines are bad; the directory holding them."""
-    path = scratch_path(spark, "defective")
-    (
-        defective_lines(spark, sf_dir)
-        .select(F.concat(F.col("year").cast("string"), F.lit(".TXT")).alias("COTAHIST_A"), "value")
-        .write.partitionBy("COTAHIST_A")
-        .text(path)
-    )
-    return path
+    return _write_lines(defective_lines(spark, sf_dir), scratch_path(spark, "defective"), compression)
 
 
 def dirty_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
