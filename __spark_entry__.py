@@ -107,7 +107,7 @@ def layout_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = tl.QUOTE_LAYOUT.with_fields(
         tl.Field("year", 3, 4, "whole"), tl.Field("ticker", 13, 4), tl.Field("cents", 109, 13, "whole")
     )
-    quotes = tl.scan_quotes(spark, tables.write_quote_files(spark, sf_dir), layout)
+    quotes = tl.scan_quotes(spark, tables.write_quote_files(spark, sf_dir, PACKED), layout)
     return quotes.select("year", "ticker", "cents", "asset", "close")
 
 
