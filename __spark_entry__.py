@@ -94,12 +94,12 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = tl.malformed_lines(spark, tables.write_defective_files(spark, sf_dir))
+    bad = tl.malformed_lines(spark, tables.write_defective_files(spark, sf_dir, PACKED))
     return bad.select(F.regexp_extract("file", r"(\d{4})\.TXT$", 1).alias("file"), "defect", F.trim("line").alias("line"))
 
 
 def fixed_width_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tl.scan_quotes(spark, tables.write_defective_files(spark, sf_dir), mode="DROPMALFORMED")
+    return tl.scan_quotes(spark, tables.write_defective_files(spark, sf_dir, PACKED), mode="DROPMALFORMED")
 
 
 def layout_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
