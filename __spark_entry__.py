@@ -168,7 +168,7 @@ def consolidated_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 def consolidated_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.build_dataset(
         spark,
-        tables.write_quote_files(spark, sf_dir),
+        tables.write_quote_files(spark, sf_dir, PACKED),
         tables.write_portfolio_files(spark, sf_dir),
         "volume_shares",
     )

@@ -41,6 +41,13 @@ def test_windows_too_big_to_broadcast(spark, folders):
     assert rows(tl.build_dataset(spark, *folders, broadcast_bytes=0)) == BRL
 
 
+def test_a_shuffled_join_parses_the_files_once(spark, folders):
+    table = tl.build_dataset(spark, *folders, volume_field="volume_shares", broadcast_bytes=0)
+    read = table.inputFiles()
+    assert read and not any(path.endswith((".TXT", ".csv")) for path in read)
+    assert rows(table) == [(*row[:3], volume) for row, volume in zip(BRL, [5, 12, 40])]
+
+
 def test_unordered(spark, folders):
     assert sorted(rows(tl.build_dataset(spark, *folders, ordered=False))) == sorted(BRL)
 

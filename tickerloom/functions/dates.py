@@ -22,9 +22,8 @@ def compact_day_or_error(raw: Column) -> Column:
     """``YYYYMMDD`` as a date; any other text fails the job."""
     day = compact_day(raw)
     problem = F.concat(F.lit("invalid date in date_raw: "), raw)
-    return F.when(raw.isNull() | day.isNotNull(), day).otherwise(
-        F.raise_error(problem).cast("date")
-    )
+    # Names the day once, as it is repeated wherever a filter on it is pushed down.
+    return F.coalesce(day, F.when(raw.isNotNull(), F.raise_error(problem).cast("date")))
 
 
 def day_or_null(value: Column) -> Column:

@@ -9,6 +9,7 @@ from tickerloom.functions.dates import with_quote_day
 from tickerloom.functions.numbers import number_or_null, rounded_shares
 from tickerloom.operators.equities import equity_filter, require_columns
 from tickerloom.operators.validity import BROADCAST_BYTES, measure_windows, validity_join
+from tickerloom.scratch import saved
 from tickerloom.sources.fixed_width import scan_quotes
 from tickerloom.sources.layout import QUOTE_LAYOUT, Layout
 from tickerloom.sources.membership import scan_members
@@ -41,8 +42,10 @@ def consolidate(
     ``ordered=False`` when the table goes to a writer with an order of its own.
 
     A sort runs its input twice, first to sample the ranges.  ``from_text`` says
-    that reading the quotes is dear: the result of a broadcast join, narrow rows
-    of members only, is then shuffled before, so that they are parsed once.
+    that reading the inputs is dear: the result of a broadcast join, narrow rows
+    of members only, is then shuffled before, so that the quotes are parsed once.
+    A shuffled join looks at its sides several times; from text they are written
+    as narrow tables first.
     """
     _check_volume_field(volume_field)
     equities = equity_filter(quotes)
@@ -51,6 +54,11 @@ def consolidate(
     size = measure_windows(windows)
     if size.rows == 0:
         raise ValueError("the membership table is empty")
+    if from_text and not size.fits(broadcast_bytes):
+        # The day is made from the table: with it and its range, the code of the scan gets too long to be compiled.
+        days = [name for name in ("date", "date_raw") if name in equities.columns]
+        narrow = equities.select("asset", *days, "close", volume_field)
+        equities, windows = saved(narrow, "equities"), saved(windows, "windows")
     joined = validity_join(with_quote_day(equities), windows, size, broadcast_bytes)
     if volume_field == "volume_shares":
         volume = rounded_shares(F.col(volume_field), joined.schema[volume_field].dataType)

@@ -25,7 +25,7 @@ ASSET_LABEL = "codigo"
 DELIMITERS = (",", "\t", ";", " ", ":")
 
 # A portfolio may also be a directory of part files, as Spark writes them.
-PART_FILE = r"(/IBOV_[^/]*\.csv)/[^/]*$"
+PORTFOLIO_PATH = PORTFOLIO_NAME.replace("$", "(?:/[^/]*)?$")
 
 EMPTY_SCHEMA = "asset string, start date, end date"
 
@@ -148,7 +148,6 @@ def scan_members(spark: SparkSession, directory: str, infer_types: bool = False)
     them.  Names that do not fit are skipped with a warning.
     """
     root = directory.rstrip("/")
-    unit = F.regexp_replace("_metadata.file_path", PART_FILE, "$1")
     found = entries(spark, root, PORTFOLIO_FILES)
     if found is None:
         raise FileNotFoundError(f"no portfolio directory {directory}")
@@ -165,7 +164,7 @@ def scan_members(spark: SparkSession, directory: str, infer_types: bool = False)
     if missing:
         raise ValueError(f"portfolios without a header: {sorted(path.rsplit('/', 1)[-1] for path in missing)}")
 
-    start, end = (F.regexp_extract(unit, PORTFOLIO_NAME, group).cast("date") for group in (1, 2))
+    start, end = (F.regexp_extract("_metadata.file_path", PORTFOLIO_PATH, group).cast("date") for group in (1, 2))
     return _union_by_name(
         [
             _read_dialect(spark, paths, header, start, end, infer_types)
